@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, quality
+from . import bpe, decontaminate, lines, minhash, pii, quality, token_counts, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
+    "op2_urls": urls.op2_urls,
+    "op5_minhash": minhash.op5_minhash,
+    "op6_lines": lines.op6_lines,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_bpe": bpe.op8_bpe,
+    "op9_token_counts": token_counts.op9_token_counts,
+    "op10_pii": pii.op10_pii,
 }
 
 ORACLE_SQL = {
+    "op2_urls": urls.OP2_SQL,
     "op7_decontaminate": decontaminate.OP7_SQL,
 }
