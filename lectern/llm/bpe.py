@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 
 from . import common as c
 
-#: White space as the vocabulary's normaliser takes it.
-_SPACE = regex.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
-#: Words that a worker remembers; beyond them it starts anew.
+#: White space as the vocabulary's normaliser and words take it, for a regular expression's class.
+SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Words of a generation: a worker remembers those of the last full one and of the one that grows; what is met again stays.
 REMEMBERED = 1 << 18
 
 
@@ -49,17 +49,18 @@ class WordBpe:
             raise ValueError("special tokens with options are not supported")
         self.names |= {i: t for t, i in self.special.items()}
         self.cut = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        self.split = regex.compile(split["pattern"]["Regex"])
+        self.split = regex.compile(split["pattern"]["Regex"].replace(r"\s", SPACES))
         self.letters = byte_letters()
         self.own: dict[int, bool] = {}  # tokens that their own letters merge to
         self.fits: dict[int, bool] = {}  # pairs that stay a pair when merged from their letters
-        self.words: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.words: dict[str, tuple[bytes, str]] = {}  # ids as little-endian 32-bit numbers, and the tokens' names
+        self.before: dict[str, tuple[bytes, str]] = {}
         self.merged = 0  # words that took exact merging, of self.asked
         self.asked = 0
 
     def normalise(self, text: str) -> str:
-        text = _SPACE.sub(" ", unicodedata.normalize("NFC", text))
-        return text.replace("Σ", "σ").lower()  # sigma apart: letters are lowered one by one, without regard to the end of a word
+        """Without the replacement of white space, of which no word has any."""
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()  # sigma apart: letters are lowered one by one, without regard to the end of a word
 
     def symbols(self, word: str) -> list[str]:
         letters = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
@@ -68,12 +69,16 @@ class WordBpe:
 
     def merge(self, symbols: list[str]) -> list[str]:
         """Exact merging: the pair of least rank first, the leftmost of equals."""
-        symbols = list(symbols)
-        while len(symbols) > 1:
-            best = min(range(len(symbols) - 1), key=lambda i: self.ranks.get((symbols[i], symbols[i + 1]), 1 << 40))
-            if (symbols[best], symbols[best + 1]) not in self.ranks:
-                break
-            symbols[best : best + 2] = [symbols[best] + symbols[best + 1]]
+        symbols, rank, none = list(symbols), self.ranks.get, 1 << 40
+        ranks = [rank(pair, none) for pair in zip(symbols, symbols[1:])]
+        while ranks and (least := min(ranks)) < none:
+            i = ranks.index(least)
+            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((symbols[i - 1], symbols[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank((symbols[i], symbols[i + 1]), none)
         return symbols
 
     def letters_of(self, token: int) -> list[str]:
@@ -85,12 +90,15 @@ class WordBpe:
 
     def propose(self, symbols: list[str]) -> list[int] | None:
         """Greedy longest match from the left; None where some letter is in no token."""
-        out, i, n = [], 0, len(symbols)
+        n = len(symbols)
+        stem, get, out, i = "".join(symbols)[: -len(self.suffix)], self.vocab.get, [], 0
         while i < n:
-            for j in range(min(n, i + self.longest), i, -1):
-                if (t := self.vocab.get("".join(symbols[i:j]))) is not None:
-                    break
-            else:
+            t = get(stem[i:] + self.suffix) if n - i <= self.longest else None
+            j = n if t is not None else min(n - 1, i + self.longest)
+            while t is None and j > i:
+                t = get(stem[i:j])
+                j -= t is None
+            if t is None:
                 return None
             out.append(t)
             i = j
@@ -121,7 +129,7 @@ class WordBpe:
         self.asked += len(new)
         self.merged += int(bad.sum())
         for w, p in zip(new, proposed):
-            self.words[w] = tuple(p), " ".join(self.names[t] for t in p)
+            self.words[w] = np.array(p, "<u4").tobytes(), " ".join([self.names[t] for t in p])
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
         """Ids of each text and what decoding them, special tokens kept, gives: the tokens' names joined by spaces."""
@@ -137,25 +145,28 @@ class WordBpe:
                     own.append(ws)
                     fresh.update(ws)
             parts.append(own)
-        if len(self.words) + len(fresh) > REMEMBERED:
-            self.words.clear()
+        if len(self.words) > REMEMBERED:
+            self.before, self.words = self.words, {}
         if len(self.fits) > 4 * REMEMBERED:
             self.fits.clear()
+        fresh.difference_update(self.words)
+        for w in fresh & self.before.keys():
+            self.words[w] = self.before[w]
         self.learn([w for w in fresh if w not in self.words])
         get = self.words.__getitem__
         out = []
         for own in parts:
-            ids: list[int] = []
+            ids: list[bytes] = []
             said: list[str] = []
             for p in own:
                 if isinstance(p, int):
-                    ids.append(p)
+                    ids.append(np.array([p], "<u4").tobytes())
                     said.append(self.names[p])
                 elif p:
                     found = list(map(get, p))
-                    ids.extend(chain.from_iterable([f[0] for f in found]))
-                    said.extend([f[1] for f in found if f[0]])
-            out.append((np.array(ids, "<u4"), " ".join(said)))
+                    ids.extend([f[0] for f in found])
+                    said.extend([f[1] for f in found if f[1]])
+            out.append((np.frombuffer(b"".join(ids), "<u4"), " ".join(said)))
         return out
 
 
@@ -174,13 +185,12 @@ def encode(docs: DataFrame, vocabulary: str | None = None, text_col: str = "text
 
     Null and empty texts have no tokens, and both hashes are those of the empty string. Repeated rows are encoded alike, empty tables give no
     rows, and input columns of these names are replaced. Special tokens written in a text are encoded as such. vocabulary: a file's path."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
-    state: list[WordBpe] = []
+    source = read_vocabulary(vocabulary)
+    digest = c.sha256_hex(source.encode())
+    shared = docs.sparkSession.sparkContext.broadcast(source)
 
     def make(texts: pa.Array) -> list[pa.Array]:
-        if not state:
-            state.append(WordBpe(shared.value))
-        got = state[0].encode(texts.fill_null("").to_pylist())
+        got = c.remembered(f"bpe-{digest}", lambda: WordBpe(shared.value)).encode(texts.fill_null("").to_pylist())
         out = [
             pa.array([len(i) for i, _ in got], pa.int64()),
             pa.array([c.sha256_hex(i.tobytes()) for i, _ in got]),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -179,10 +180,13 @@ def shingles(hashes: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray
     return mix(out), out_bounds
 
 
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+def remembered(key: str, make: Callable):
+    """make() once in a Python process: a worker that is used again keeps it from task to task."""
+    kept = sys.__dict__.setdefault("_lectern_kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
 
 
-def text_key(column) -> F.Column:
-    """128 bits that stand for a whole text; null for null."""
-    return F.when(column.isNotNull(), F.concat_ws(":", F.xxhash64(column), F.xxhash64(F.lit(7), F.reverse(column))))
+def sha256_hex(data: bytes) -> str:
+    return hashlib.sha256(data).hexdigest()
