@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, lines, minhash, pii, quality, token_counts, urls
+from . import bpe, decontaminate, embeddings, html, lines, minhash, pii, quality, token_counts, urls
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
     "op2_urls": urls.op2_urls,
+    "op3_html": html.op3_html,
+    "op4_embeddings": embeddings.op4_embeddings,
     "op5_minhash": minhash.op5_minhash,
     "op6_lines": lines.op6_lines,
     "op7_decontaminate": decontaminate.op7_decontaminate,
@@ -17,5 +19,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_urls": urls.OP2_SQL,
+    "op4_embeddings": embeddings.OP4_SQL,
     "op7_decontaminate": decontaminate.OP7_SQL,
 }

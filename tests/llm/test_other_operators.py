@@ -1,0 +1,257 @@
+"""Operators on URLs, pages, vectors and personal data against brute force, and their edge cases."""
+
+import collections
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+
+from lectern.llm import embeddings, graph, html, pii, urls
+
+# URLs
+
+URLS = [
+    None, "", "no scheme/here", "http://net", "http://a.net/", "https://X.Example.NET/en/1?q#f", "http://example.net/en", "http://m.example.net/de/2", "http://example.com/de/#x",
+    "http://notexample.com/de/", "https://www.example.com/en/9.html", "http://a.org/fr/3", "http://org/fr/", "ftp://u@h.net:21/x", "http://a.net?x/", "x://y://z", "http://casino-win.example.org/en/1",
+    "http://m.casino-win.example.com/en/1", "http://é.example.com/ü?ü", "https://blog.example.org/a\nb",
+]
+
+
+def brute_rule(url):
+    rest = url.split("://", 1)[1] if url and "://" in url else None
+    if rest is None:
+        return "", "", None, None
+    host = re.split("[/?#]", rest)[0]
+    path = re.split("[?#]", rest[len(host) :])[0]
+    host = "".join(ch.lower() if "A" <= ch <= "Z" else ch for ch in host)
+    best = None
+    for rule, verdict in urls.RULES:
+        h, slash, p = rule.partition("/")
+        if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and (best is None or len(rule) > len(best[0])):
+            best = rule, verdict
+    return host, path, *(best or (None, None))
+
+
+def brute_scores(pairs):
+    """Witten-Bell mixtures with plain dictionaries. pairs: (string, rejected)."""
+    strings = [("^" * 3 + s + "$", r) for s, r in pairs]
+    counts = {k: {True: collections.Counter(), False: collections.Counter()} for k in range(1, 5)}
+    for s, r in strings:
+        for i in range(3, len(s)):
+            for k in range(1, 5):
+                counts[k][r][s[i - k + 1 : i + 1]] += 1
+    follow = {k: {r: collections.defaultdict(lambda: [0, 0]) for r in (True, False)} for k in range(2, 5)}
+    for k in range(2, 5):
+        for r in (True, False):
+            for g, n in counts[k][r].items():
+                follow[k][r][g[:-1]][0] += n
+                follow[k][r][g[:-1]][1] += 1
+    size = len(urls.ALPHABET)
+
+    def chance(g, r):
+        p = (counts[1][r][g[-1]] + 1) / (sum(counts[1][r].values()) + size)
+        for k in range(2, 5):
+            n, t = follow[k][r][g[-k:-1]]
+            if n:
+                p = (counts[k][r][g[-k:]] + t * p) / (n + t)
+        return p
+
+    return [np.mean([math.log(chance(s[i - 3 : i + 1], True)) - math.log(chance(s[i - 3 : i + 1], False)) for i in range(3, len(s))]) for s, _ in strings]
+
+
+def test_urls_equal_brute_force(spark):
+    rng = random.Random(3)
+    rows = list(enumerate(URLS))
+    rows += [(100 + k, f"https://{rng.choice(['news', 'blog', 'docs'])}.{rng.choice(['alpha', 'beta', 'gamma'])}.{rng.choice(['com', 'org'])}/p/{rng.randint(1, 99)}") for k in range(60)]
+    rows += [(200 + k, f"http://{rng.choice(['casino', 'pills', 'bets'])}-{rng.choice(['win', 'cheap', 'free'])}.{rng.choice(['com', 'org'])}/x{k}") for k in range(20)]
+    rows += [(100, rows[len(URLS)][1])]
+    frame = spark.createDataFrame([(i, u, "h", None) for i, u in rows], "page_id long, url string, HOST string, rule string")
+    got = {(r.page_id, r.url): r for r in urls.judge(frame).collect()}
+    assert len(got) == len(rows) - 1
+    seeded, plain = re.compile(urls.seed_pattern(urls.SEEDS)), []
+    for i, u in rows:
+        host, path, rule, verdict = brute_rule(u)
+        r = got[i, u]
+        assert (r.host, r.path, r.rule) == (host, path, rule), u
+        assert verdict is None or r.verdict == verdict
+        s = "".join(ch.lower() if "A" <= ch <= "Z" else ch for ch in host + path)
+        plain.append((re.sub("[^a-z0./_%=&~+-]", "*", re.sub("[0-9]", "0", s)), bool(seeded.search(host))))
+    scores = brute_scores(plain)
+    for (i, u), score in zip(rows, scores):
+        assert got[i, u].score == pytest.approx(score, abs=1e-9)
+    histogram = collections.defaultdict(lambda: [0, 0])
+    for (_, rejected), score in zip(plain, scores):
+        histogram[math.floor(max(-8, min(8, score)) * 100)][rejected] += 1
+    limit = urls.threshold([(b, *histogram[b]) for b in sorted(histogram)])
+    for (i, u), score in zip(rows, scores):
+        if got[i, u].rule is None:
+            assert (got[i, u].verdict == "block") == (score >= limit)
+
+
+def test_urls_edges(spark):
+    schema = "page_id long, url string"
+    assert urls.judge(spark.createDataFrame([], schema)).count() == 0
+    one_kind = urls.judge(spark.createDataFrame([(1, "http://a.com/x"), (None, None), (1, "http://a.com/x")], schema)).collect()
+    assert [r.verdict for r in one_kind] == ["allow"] * 3
+    assert urls.threshold([]) is None and urls.threshold([(1, 3, 0)]) is None
+
+
+# personal data
+
+TEXT = "born 1984-02-29 or 31/12/1999, not 30.02.2001; DE89370400440532013000 GB82WEST12345698765432 DE00370400440532013000 123-45-6789 000-12-3456 1.2.3.4 999.1.1.1 4111-1111-1111-1111 4111111111111111 4111111111111112 A.b9@X.org a.B9@x.org +1 (017) 555-7713 token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\" v1.2.3.4"
+
+
+def luhn(number):
+    return sum(sum(divmod(int(d) * (1 + k % 2), 10)) for k, d in enumerate(reversed(number))) % 10 == 0
+
+
+def test_pii_round_trip_and_formats(spark):
+    rows = [(1, TEXT), (2, None), (3, ""), (4, "clean text 12 345 a@b"), (5, "again: 4111111111111111!"), (5, "again: 4111111111111111!")]
+    frame = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, N_VALUES int")
+    out = pii.pseudonymise(frame, key="k")
+    got = {r.doc_id: r for r in out.collect()}
+    assert out.columns == ["doc_id", "text", "n_values"] and out.count() == len(rows)
+    assert (got[2].text, got[2].n_values, got[3].text, got[4].text, got[4].n_values) == (None, 0, "", "clean text 12 345 a@b", 0)
+    new, old = got[1].text, TEXT
+    form = lambda s: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "9", s)))
+    assert re.sub(r"[0-9]+(\.[0-9]+){3}", "ip", form(new)) == re.sub(r"[0-9]+(\.[0-9]+){3}", "ip", form(old))
+    for kept in ("30.02.2001", "DE00370400440532013000", "000-12-3456", "999.1.1.1", "4111111111111112", "v1.2.3.4"):
+        assert kept in new
+    for gone in ("1984-02-29", "31/12/1999", "DE89370400440532013000", "GB82WEST12345698765432", "123-45-6789", " 1.2.3.4 ", "4111-1111-1111-1111", "4111111111111111", "A.b9@", "(017)", "04dbebab"):
+        assert gone not in new
+    cards = [re.sub("[ -]", "", x) for x in re.findall(r"(?<![0-9])[0-9]{4}-?[0-9]{4}-?[0-9]{4}-?[0-9]{4}(?![0-9])", new)]
+    assert len(cards) == 3 and cards[0] == cards[1] and luhn(cards[0]) and cards[1] in got[5].text
+    mails = re.findall(r"\S+(?=@[Xx]\.org)", new)
+    assert mails[0].lower() == mails[1].lower() and mails[0] != mails[1]
+    for iban in re.findall(r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{18}\b", new)[:2]:
+        assert int("".join(str(int(ch, 36)) for ch in iban[4:] + iban[:4])) % 97 == 1
+    back = {r.doc_id: r.text for r in pii.pseudonymise(out.drop("n_values"), key="k", sign=-1).collect()}
+    assert back[1] == TEXT and back[5] == rows[4][1]
+    other = {r.doc_id: r.text for r in pii.pseudonymise(frame, key="other").collect()}
+    assert other[1] != new
+    assert pii.pseudonymise(frame.limit(0)).count() == 0
+
+
+def test_pii_uses_no_python_and_no_exchange(spark):
+    plan = pii.pseudonymise(spark.createDataFrame([(1, "x")], "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+
+
+# HTML
+
+
+def test_html_blocks_and_boilerplate():
+    page = """<html><head><title>T</title></head><body class="has-sidebar"><header><h1>Site</h1></header><div id=menu>m</div><div class="post-content"><h1>Hi &amp; all</h1>
+<p>One<p>Two <em>em</em><br/>x &nbsp; y<ul><li>a<li>b</ul><table><tr><td>1<td>2</table><!-- c --><form>f</form><div class="userComments">c1</div>
+<script>if(a<b){"</p>"}</script></div><aside>s</aside><p hidden>h</p><p style="display: none">n</p><footer>f</footer></body>"""
+    assert html.main_text(page) == "Hi & all\n\nOne\n\nTwo em x y\n\na\n\nb\n\n1\n\n2"
+    assert html.main_text("<div>out</div><article><header><h1>T</h1></header><p>in <b>bold</b></p><footer>f</footer></article>") == "T\n\nin bold"
+    assert html.main_text("<p>a<span class='ad'>buy <i>now</i></span>b<div>tail") == "ab\n\ntail"
+    assert html.main_text("x < y &amp; z &lt;b&gt; &#233;") == "x < y & z <b> é"
+    for odd in (None, "", "<", "<p", "<!-- never closed", "<p class='x", "</p></div>", "<script>x", "<![CDATA[a&b]]>", "<a href='>'>t</a>"):
+        assert isinstance(html.main_text(odd), str)
+    assert html.main_text("<a href='>'>t</a>") == "t"
+
+
+def test_style_tree_drops_repeated_branches_and_keeps_content(spark):
+    rows = []
+    for k in range(12):
+        rows.append((k, f"http://a.com/{k}", f"<body><div class=x1><span>Home</span><span>Imprint</span></div><div class=c><h2>Title {k}</h2><p>Own text number {k}.</p></div><div class=x2><p>All rights reserved.</p></div></body>"))
+    rows += [(50, "http://single.com/", "<body><div class=x2><p>Only page.</p></div></body>"), (51, None, "<div>no host</div>"), (52, "http://a.com/", None), (53, "http://b.com", "")]
+    rows += [(60 + k, "http://same.com/", "<body><div><p>Equal page.</p></div></body>") for k in range(6)]
+    frame = spark.createDataFrame([(i, u, h, "x") for i, u, h in rows], "page_id long, url string, html string, TEXT string")
+    out = html.extract(frame)
+    assert out.columns == ["page_id", "url", "html", "text", "n_chars"]
+    got = {r.page_id: r for r in out.collect()}
+    assert len(got) == len(rows)
+    for k in range(12):
+        assert got[k].text == f"Title {k}\n\nOwn text number {k}." and got[k].n_chars == len(got[k].text)
+    assert [got[k].text for k in (50, 51, 52, 53, 60)] == ["Only page.", "no host", "", "", "Equal page."]
+    assert html.extract(frame.limit(0)).count() == 0
+
+
+def test_importance_is_guarded_by_content():
+    nodes = [(1, 0, False, 10, 0.0, 0.0, 0), (2, 1, False, 10, 0.0, 1.0, 3), (3, 1, True, 10, 0.0, 1.0, 3), (4, 1, False, 2, 0.0, 1.0, 1), (5, 1, False, 10, 0.9, 0.1, 9)]
+    nodes += [(6, 1, False, 10, 0.0, 0.0, 0), (7, 6, False, 10, 0.0, 1.0, 1), (8, 6, False, 10, 0.0, 0.95, 2), (9, 1, False, 10, 0.0, 0.0, 0), (10, 9, False, 10, 0.0, 1.0, 1), (11, 9, False, 10, 0.5, 0.3, 1)]
+    assert html.importance(nodes) == [2, 6, 10]
+
+
+# vectors
+
+
+def brute_links(rows, threshold=embeddings.THRESHOLD):
+    good = [(i, np.array(v, np.float32).astype(float), l) for i, v, l in rows if i is not None and l is not None and v and None not in v and np.isfinite(np.array(v, float)).all() and any(v)]
+    links, root = collections.Counter(), {i: i for i, _, _ in good}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(good)):
+        for b in range(a):
+            (i, x, l), (j, y, m) = good[a], good[b]
+            if l == m and len(x) == len(y) and (x @ y) / (np.sqrt(x @ x) * np.sqrt(y @ y)) >= threshold:
+                links[i] += 1
+                links[j] += 1
+                p, q = sorted((find(i), find(j)))
+                root[q] = p
+    return links, {i: find(i) for i in root}
+
+
+@pytest.mark.parametrize("tile", [7, 1024])
+def test_vectors_equal_brute_force(spark, tile):
+    rng = np.random.default_rng(1)
+    rows = []
+    for group in range(12):
+        center = rng.normal(size=24)
+        for _ in range(15):
+            rows.append((len(rows), (center + rng.normal(size=24) * rng.choice([0.05, 0.2, 0.4])).astype(np.float32).tolist(), group % 3))
+    rows += [(1000 + k, rows[0][1], 0) for k in range(20)] + [(2000, [2 * x for x in rows[0][1]], 0), (2001, rows[0][1], 1)]
+    rows += [(3000, None, 0), (3001, [], 0), (3002, [0.0] * 24, 0), (3003, [None] + rows[0][1][1:], 0), (3004, [float("nan")] + rows[0][1][1:], 0), (3005, rows[0][1], None), (3006, rows[0][1][:5], 0), (None, rows[0][1], 0), (3007, [float("inf")] * 24, 0)]
+    frame = spark.createDataFrame([(i, v, l, 1) for i, v, l in rows], "vec_id long, embedding array<float>, label int, n_links int")
+    links, root = brute_links(rows)
+    got = embeddings.near_vectors(frame, tile=tile).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.n_links, r.component_id, r.kept) == (links[r.vec_id], root.get(r.vec_id, r.vec_id), r.vec_id == root.get(r.vec_id, r.vec_id)), r
+
+
+def test_vectors_edges(spark):
+    schema = "vec_id long, embedding array<double>, label string"
+    assert embeddings.near_vectors(spark.createDataFrame([], schema)).count() == 0
+    got = embeddings.near_vectors(spark.createDataFrame([(1, [1.0, 0.0], "a"), (2, [1.0, 0.0], "a"), (2, [1.0, 0.0], "a"), (3, None, None)], schema)).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 2, 1), (2, 2, 1), (2, 2, 1), (3, 0, 3)]
+
+
+def test_links_are_bounded_not_missed():
+    rng = np.random.default_rng(2)
+    a, b = (embeddings.unit(rng.normal(size=(60, 40)) + rng.normal(size=40) * k) for k in (1, 1))
+    i, j = embeddings.linked(a, b, a, b, 0.3)
+    want = {(x, y) for x in range(60) for y in range(60) if a[x] @ b[y] >= 0.3}
+    assert set(zip(i.tolist(), j.tolist())) == want
+
+
+def test_components(spark):
+    rng = random.Random(9)
+    links = [(rng.randint(0, 200), rng.randint(0, 200)) for _ in range(120)] + [(300 + k, 301 + k) for k in range(40)] + [(400, k) for k in range(401, 440)] + [(None, 1), (5, None), (7, 7)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a is not None and b is not None and a != b:
+            p, q = sorted((find(a), find(b)))
+            root[q] = p
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert set(got) == set(root)
+    names = collections.defaultdict(set)
+    for n, r in got.items():
+        names[r].add(find(n))
+    assert all(len(x) == 1 for x in names.values()) and len(names) == len({find(n) for n in root})
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
