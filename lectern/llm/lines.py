@@ -150,7 +150,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = repeats(docs, id_col, text_col, min_words)
     k1, k2 = _row_key(id_col, text_col)
     keyed = docs.withColumns({"__k1": k1, "__k2": k2})
-    joined = keyed.join(runs, ["__k1", "__k2"], "left")
+    joined = keyed.join(runs.hint("merge"), ["__k1", "__k2"], "left")  # runs grow with the corpus: no broadcast at any size
 
     added = [("n_lines", T.LongType()), ("n_removed", T.LongType())]
     kept, _ = c.with_columns(joined.drop("__k1", "__k2", "runs"), added)
