@@ -1,4 +1,6 @@
 """Named queries and the SQL that gives the same rows."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import evidence, evidence_sql
+
+QUERIES: dict = dict(evidence.QUERIES)
+ORACLE_SQL: dict = dict(evidence_sql.ORACLE_SQL)
