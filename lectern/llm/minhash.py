@@ -17,6 +17,12 @@ SHINGLE = 5
 SIMILARITY = 0.8
 COMPONENTS = 128
 BANDS, ROWS = 25, 5
+#: Texts whose signatures agree less than this are not compared in full: five standard errors below the least similarity.
+MARGIN = 5.0
+#: Orders by which the first heads of bands are chosen, and rounds in which what stands apart meets another head of its band's largest component.
+ORDERS, ROUNDS = 3, 2
+#: A band of more texts in several components is compared by blocks of about so many.
+SMALL_BAND, BLOCK = 64, 512
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -98,8 +104,17 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return shared / max(1, len(both) - shared)
 
 
+def plausible(least: float) -> float:
+    return least - MARGIN * float(np.sqrt(least * (1 - least) / (BANDS * ROWS)))
+
+
+def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Estimated similarity from signatures of one byte a component, of which unlike ones agree once in 256 times."""
+    return ((a == b).mean(-1) - 1 / 256) / (1 - 1 / 256)
+
+
 def _sketched(texts: DataFrame) -> DataFrame:
-    """__id, __key, __text -> __id, __key, bands."""
+    """__id, __key, __text -> __id, __key, bands, sig (a byte of each component; of texts with shingles)."""
 
     def run(batches):
         for batch in batches:
@@ -109,9 +124,11 @@ def _sketched(texts: DataFrame) -> DataFrame:
                 winners, has = signatures(*bags(column.slice(i, j - i)), j - i)
                 keys = bands(winners)[has].astype(np.int64).ravel()
                 bounds = np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([*rest.slice(i, j - i).columns, pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys))], names=["__id", "__key", "bands"])
+                low = (winners[:, : BANDS * ROWS] >> np.uint64(56)).astype(np.uint8)
+                sig = pa.array([low[k].tobytes() if has[k] else None for k in range(j - i)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*rest.slice(i, j - i).columns, pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys)), sig], names=["__id", "__key", "bands", "sig"])
 
-    fields = [texts.schema["__id"], texts.schema["__key"], T.StructField("bands", T.ArrayType(T.LongType()))]
+    fields = [texts.schema["__id"], texts.schema["__key"], T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sig", T.BinaryType())]
     return texts.mapInArrow(run, T.StructType(fields))
 
 
@@ -144,40 +161,132 @@ def _verified(pairs: DataFrame, bag: DataFrame, least: float) -> DataFrame:
     return sides.select("a", "b", "bag_a", "bag_b").mapInArrow(run, "a binary, b binary")
 
 
+def _placed(member: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """band, __key and the root of the text's component so far."""
+    if roots is None:
+        return member.select("band", "__key", F.col("__key").alias("root"))
+    return member.join(roots.withColumnRenamed("node", "__key"), "__key", "left").select("band", "__key", F.coalesce("root", "__key").alias("root"))
+
+
+def _mixed(placed: DataFrame, salt: int) -> DataFrame:
+    """Bands whose texts are in several components: band, main (the root of most of them), head (one of those), total and rest."""
+    sums = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("__key", F.lit(salt)).alias("h"), F.col("__key").alias("k"))).alias("head"))
+    best = F.max(F.struct("n", "root", "head")).alias("m")
+    out = sums.groupBy("band").agg(best, F.count(F.lit(1)).alias("parts"), F.sum("n").alias("total")).where("parts > 1")
+    out = out.select("band", F.col("m.root").alias("main"), F.col("m.head.k").alias("head"), "total", (F.col("total") - F.col("m.n")).alias("rest"))
+    return c.stash(out, "minhash-mixed")
+
+
+def _small_pairs(placed: DataFrame, mixed: DataFrame, classes: DataFrame, least: float) -> DataFrame:
+    """Of bands of up to SMALL_BAND texts, pairs in different components whose signatures agree well enough."""
+    own = placed.join(mixed.where(f"total <= {SMALL_BAND}").select("band"), "band").join(classes.select("__key", "sig"), "__key")
+    own = c.stash(own, "minhash-apart")
+    other = own.select("band", F.col("__key").alias("b"), F.col("root").alias("root_b"), F.col("sig").alias("sig_b"))
+    pairs = own.withColumnRenamed("__key", "a").join(other, "band").where("root < root_b").select("a", "b", "sig", "sig_b")
+    enough = plausible(least)
+
+    def run(batches):
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(x).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for x in (2, 3))
+            yield batch.select(["a", "b"]).filter(pa.array(agreement(a, b) >= enough if batch.num_rows else [], pa.bool_()))
+
+    return pairs.mapInArrow(run, "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _block_links(placed: DataFrame, mixed: DataFrame, classes: DataFrame, bag: DataFrame, least: float) -> DataFrame:
+    """Of larger bands, links between texts outside of the main component and all texts, by pairs of blocks: a block of the ones meets each
+    block of the others, signatures are compared as a table, and texts that agree well enough are compared in full until they are joined."""
+    own = placed.join(mixed.where(f"total > {SMALL_BAND}"), "band").join(classes.select("__key", "sig"), "__key").join(bag, "__key")
+    own = c.stash(own, "minhash-apart")
+    dealt = lambda n: F.pmod(F.xxhash64("__key", F.lit(5)), F.ceil(F.col(n) / BLOCK))
+
+    def pack(table: pa.Table) -> pa.Table:
+        get = lambda x: table.column(x).to_pylist()
+        bags_ = get("bag")
+        sizes = np.array([len(x) for x in bags_], np.int64)
+        return pa.table({"band": [get("band")[0]], "keys": [b"".join(get("__key"))], "roots": [b"".join(get("root"))], "sigs": [b"".join(get("sig"))], "sizes": [sizes.tobytes()], "bags": [b"".join(bags_)]})
+
+    schema = "band long, keys binary, roots binary, sigs binary, sizes binary, bags binary"
+    columns = ["keys", "roots", "sigs", "sizes", "bags"]
+    rest = own.where("root <> main").withColumn("block", dealt("rest")).select("band", "block", "__key", "root", "sig", "bag").groupBy("band", "block").applyInArrow(pack, schema)
+    every = own.withColumn("block", dealt("total")).select("band", "block", "__key", "root", "sig", "bag").groupBy("band", "block").applyInArrow(pack, schema)
+    pairs = c.stash(rest, "minhash-rest").join(c.stash(every, "minhash-every").select("band", *[F.col(x).alias(f"{x}_b") for x in columns]), "band")
+    enough = plausible(least)
+
+    def run(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                side = []
+                for end in ("", "_b"):
+                    raw = {x: batch.column(batch.schema.get_field_index(x + end))[r].as_py() for x in columns}
+                    keys = [raw["keys"][k : k + 16] for k in range(0, len(raw["keys"]), 16)]
+                    roots = [raw["roots"][k : k + 16] for k in range(0, len(raw["roots"]), 16)]
+                    cut = np.concatenate([[0], np.cumsum(np.frombuffer(raw["sizes"], np.int64) // 4)])
+                    whole = np.frombuffer(raw["bags"], "<u4")
+                    side.append((keys, roots, np.frombuffer(raw["sigs"], np.uint8).reshape(len(keys), -1), [whole[x:y] for x, y in zip(cut, cut[1:])]))
+                (keys, roots, sigs, own_bags), (keys_b, roots_b, sigs_b, bags_b) = side
+                up: dict[bytes, bytes] = {}
+
+                def find(x):
+                    while up.get(x, x) != x:  # noqa: B023
+                        x = up[x]  # noqa: B023
+                    return x
+
+                out = []
+                for k in range(len(keys)):
+                    like = agreement(sigs[k], sigs_b)
+                    at = np.flatnonzero(like >= enough)
+                    for x in at[np.argsort(-like[at], kind="stable")]:
+                        p, q = find(roots[k]), find(roots_b[x])
+                        if p != q and similarity(own_bags[k], bags_b[x]) >= least:
+                            up[max(p, q)] = min(p, q)
+                            out.append((keys[k], keys_b[x]))
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], names=["a", "b"])
+
+    return pairs.select("band", *columns, *[f"{x}_b" for x in columns]).mapInArrow(run, "a binary, b binary")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
     """One row per row of docs: doc_id, class_id (the least id of the same text), component_id (the least id reachable by links between
     texts of similarity >= least), kept (doc_id = component_id) and __key (the text's digest, null for null).
 
     Rows of one text are one class and are never paired. Texts are linked if they share a band and their bags of five-word shingles (lower
-    case; all the words of a shorter text are one shingle) overlap enough. Each band's texts are first compared with the band's head; then
-    any two of a band that are still in different components are compared, so a link between texts of a band is never missed.
+    case; all the words of a shorter text are one shingle) overlap enough. Each band's texts are first compared with a head of the band; in
+    further rounds those outside of a band's largest component meet another head of it; then, so that no link is missed, all that are still
+    in different components of a band are compared: pair by pair in small bands, by blocks in large ones. No band's texts are paired all with
+    all, and none is put together in one task.
     Null text: a class and component of its own. Texts without words are linked with the same text only. Rows with a null id take part;
     ids of a class or component with other rows come from those. Repeated rows get equal rows. Empty table: no rows."""
     rows = docs.select(F.col(id_col).alias("__id"), F.unhex(F.md5(F.col(text_col))).alias("__key"), F.col(text_col).alias("__text"))
     sketched = c.stash(_sketched(rows), "minhash-sketch")
-    classes = sketched.where("__key IS NOT NULL").groupBy("__key").agg(F.min("__id").alias("class_id"), F.any_value("bands").alias("bands"))
+    classes = sketched.where("__key IS NOT NULL").groupBy("__key").agg(F.min("__id").alias("class_id"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
     classes = c.stash(classes, "minhash-classes")
-    member = classes.select("__key", F.explode("bands").alias("band"))
-    heads = member.groupBy("band").agg(F.min("__key").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "head")
-    heads = c.stash(heads, "minhash-heads")
-    member = c.stash(member.join(heads, "band"), "minhash-members")
-    first = c.stash(member.where("__key <> head").select(F.col("__key").alias("a"), F.col("head").alias("b")).distinct(), "minhash-pairs")
-    wanted = first.select(F.col("a").alias("__key")).union(first.select(F.col("b").alias("__key"))).distinct()
-    wanted = classes.join(wanted, "__key").select("__key", F.col("class_id").alias("__id"))
-    texts = rows.join(wanted, rows["__key"].eqNullSafe(wanted["__key"]) & rows["__id"].eqNullSafe(wanted["__id"]), "left_semi")
+    member = classes.select("__key", F.posexplode("bands").alias("at", "band"))
+    order = F.xxhash64("__key", F.pmod(F.col("at"), F.lit(ORDERS)))
+    heads = member.groupBy("band").agg(F.min(F.struct(order.alias("h"), F.col("__key").alias("k"))).alias("head"), F.count(F.lit(1)).alias("n"))
+    heads = c.stash(heads.where("n > 1").select("band", F.col("head.k").alias("head")), "minhash-heads")
+    member = c.stash(member.select("band", "__key").join(heads, "band"), "minhash-members")
+    pairs = member.where("__key <> head").select(F.least("__key", "head").alias("a"), F.greatest("__key", "head").alias("b")).distinct()
+    member = member.select("band", "__key")
+    wanted = member.select("__key").distinct()
+    wanted = classes.select("__key", F.col("class_id").alias("__id")).join(wanted, "__key").select(F.col("__key").alias("__k"), F.col("__id").alias("__i"))
+    texts = rows.join(wanted.hint("merge"), rows["__key"].eqNullSafe(F.col("__k")) & rows["__id"].eqNullSafe(F.col("__i")), "left_semi")
     bag = c.stash(_bagged(texts.select("__key", "__text")).dropDuplicates(["__key"]), "minhash-bags")
-    links = c.stash(_verified(first, bag, least), "minhash-links")
+    links = c.stash(_verified(c.stash(pairs, "minhash-pairs"), bag, least), "minhash-links")
+    roots = components(links, "minhash")
+    for salt in range(1, ROUNDS + 1):
+        placed = _placed(member, roots)
+        mixed = _mixed(placed, salt)
+        pairs = placed.join(mixed, "band").where("root <> main").select(F.least("__key", "head").alias("a"), F.greatest("__key", "head").alias("b")).distinct()
+        links = links.union(c.stash(_verified(c.stash(pairs, "minhash-pairs"), bag, least), "minhash-links"))
+        roots = components(links, "minhash")
+    placed = c.stash(_placed(member, roots), "minhash-placed")
+    mixed = _mixed(placed, 0)
+    more = c.stash(_verified(c.stash(_small_pairs(placed, mixed, classes, least), "minhash-pairs"), bag, least), "minhash-links")
+    links = links.union(more)
+    if not mixed.where(f"total > {SMALL_BAND}").isEmpty():
+        links = links.union(c.stash(_block_links(placed, mixed, classes, bag, least), "minhash-links"))
     roots = components(links, "minhash")
-    placed = member.join(roots.withColumnRenamed("node", "__key"), "__key", "left").select("band", "__key", F.coalesce("root", "__key").alias("root"))
-    mixed = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    apart = c.stash(placed.join(c.stash(mixed, "minhash-mixed"), "band"), "minhash-apart")
-    other = apart.select("band", F.col("__key").alias("b"), F.col("root").alias("root_b"))
-    pairs = apart.withColumnRenamed("__key", "a").join(other, "band").where("root < root_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    known = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = c.stash(pairs.join(known, ["a", "b"], "left_anti"), "minhash-pairs")
-    more = c.stash(_verified(pairs, bag, least), "minhash-links")
-    if not more.isEmpty():
-        roots = components(links.union(more), "minhash")
     grouped = classes.select("__key", "class_id").join(roots.withColumnRenamed("node", "__key"), "__key", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "__key"))
     tops = grouped.groupBy("root").agg(F.min("class_id").alias("component_id"))
@@ -193,7 +302,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = found.where("kept").groupBy(F.col("doc_id").alias("__id"), F.col("__key").alias("__digest")).agg(F.count(F.lit(1)).alias("__n"))
     kept = c.stash(kept, "minhash-kept")
     keyed = docs.withColumn("__digest", F.unhex(F.md5(F.col(text_col))))
-    out = keyed.join(kept, keyed[id_col].eqNullSafe(kept["__id"]) & keyed["__digest"].eqNullSafe(kept["__digest"]), "left_semi")
+    out = keyed.join(kept.hint("merge"), keyed[id_col].eqNullSafe(kept["__id"]) & keyed["__digest"].eqNullSafe(kept["__digest"]), "left_semi")
     if not kept.where("__n > 1 AND __digest IS NOT NULL").isEmpty():
         out = out.dropDuplicates([id_col, "__digest"])
     return out.select(*[F.col(f"`{n}`") for n in docs.columns])
