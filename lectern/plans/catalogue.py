@@ -1,6 +1,6 @@
 """Named queries and the SQL that gives the same rows."""
 
-from . import evidence, evidence_sql
+from . import evidence, evidence_sql, stores
 
-QUERIES: dict = dict(evidence.QUERIES)
-ORACLE_SQL: dict = dict(evidence_sql.ORACLE_SQL)
+QUERIES: dict = evidence.QUERIES | stores.QUERIES
+ORACLE_SQL: dict = evidence_sql.ORACLE_SQL | stores.ORACLE_SQL

@@ -118,7 +118,7 @@ def page_class_histogram(spark: SparkSession, d: str) -> DataFrame:
 def title_candidates(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_num", "line"))
-    upper = lines.select("doc_id", "line_num", F.when((F.col("doc_id") + F.col("line_num")) % 3 == 0, F.upper("line")).otherwise(F.col("line")).alias("line"))
+    upper = lines.select("doc_id", "line_num", F.when((F.col("doc_id") + F.col("line_num")) % 3 == 0, F.translate("line", "abcdefghijklmnopqrstuvwxyzäöüéèñ", "ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÉÈÑ")).otherwise(F.col("line")).alias("line"))
     return upper.where(t.is_title(F.col("line")) | t.is_heading(F.col("line"))).select("doc_id", "line_num", t.spaced(F.col("line")).alias("title"), t.clean_heading(F.col("line")).alias("heading"), t.is_title(F.col("line")).alias("is_title"), t.is_heading(F.col("line")).alias("is_heading"))
 
 

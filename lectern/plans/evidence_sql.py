@@ -168,8 +168,8 @@ tokens AS (SELECT DISTINCT source, token, CASE WHEN length(token) <= 7 THEN 1 EL
 near AS (SELECT t.source, t.token, l.token AS known, l.canonical, l.occurrences, l.mean_confidence, levenshtein(t.token, l.token) AS distance
   FROM tokens t JOIN lex l ON l.source = t.source AND l.token[1] = t.token[1] AND abs(length(l.token) - length(t.token)) <= d AND levenshtein(t.token, l.token) <= d),
 best AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY source, token ORDER BY distance, occurrences DESC, mean_confidence DESC) AS place FROM near) WHERE place = 1),
-some AS (SELECT *, row_number() OVER (PARTITION BY source, token ORDER BY known) AS k, count(*) OVER (PARTITION BY source, token) AS ties FROM best),
-shown AS (SELECT source, token, any_value(ties) AS ties, string_agg(known || ':' || canonical || ':' || distance || ':' || occurrences, '|' ORDER BY known) FILTER (k <= 5) AS proposals FROM some GROUP BY 1, 2)
+tied AS (SELECT *, row_number() OVER (PARTITION BY source, token ORDER BY known) AS k, count(*) OVER (PARTITION BY source, token) AS ties FROM best),
+shown AS (SELECT source, token, any_value(ties) AS ties, string_agg(known || ':' || canonical || ':' || distance || ':' || occurrences, '|' ORDER BY known) FILTER (k <= 5) AS proposals FROM tied GROUP BY 1, 2)
 SELECT s.source, page, line_num, word_num, original, confidence, s.token, CASE WHEN ties = 1 THEN 'STRONG_CANDIDATE_REVIEW_REQUIRED' ELSE 'REVIEW_REQUIRED' END AS status, ties, proposals,
   concat_ws(',', "left", top, "left" + width, top + height) AS bbox FROM suspects s JOIN shown b ON b.source = s.source AND b.token = s.token""",
     "ocr_lines": f"WITH {WORDS_SQL}, {_REGIONS}, {_lines('placed0', 'ln')} SELECT source, page, region, line_num, line_index, text, x0, y0, x1, y1, word_count, mean_confidence FROM ln",
@@ -210,7 +210,7 @@ SELECT page, region, anchor, phase_no, phase, phase_source, coalesce(n, 0) AS n_
     "page_class": f"WITH {_STRUCTURE}, {_CLASSES} SELECT * FROM classes",
     "page_class_histogram": f"WITH {_STRUCTURE}, {_CLASSES} SELECT page_class, count(*) AS n_pages FROM classes GROUP BY 1",
     "title_candidates": f"""WITH l0 AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line0, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_num FROM documents),
-l AS (SELECT doc_id, line_num, CASE WHEN (doc_id + line_num) % 3 = 0 THEN upper(line0) ELSE line0 END AS line FROM l0),
+l AS (SELECT doc_id, line_num, CASE WHEN (doc_id + line_num) % 3 = 0 THEN translate(line0, 'abcdefghijklmnopqrstuvwxyzäöüéèñ', 'ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÉÈÑ') ELSE line0 END AS line FROM l0),
 n AS (SELECT doc_id, line_num, {_spaced('line')} AS title, {_clean('line')} AS heading FROM l),
 f AS (SELECT *, {_is_title('title')} AS is_title, {_is_heading('heading')} AS is_heading FROM n) SELECT * FROM f WHERE is_title OR is_heading""",
     "heading_ratio": f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_num FROM documents),

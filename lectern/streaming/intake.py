@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 def new_files(spark: SparkSession, root: str) -> DataFrame:
     """Files below root as a stream: path, content, modificationTime, sha256."""
-    files = spark.readStream.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("recursiveFileLookup", True).load(root)
     return files.select("path", "content", "modificationTime", F.sha2("content", 256).alias("sha256"))
 
 
