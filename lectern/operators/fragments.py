@@ -7,6 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as t
+from ..sources.shared import stash
+from .ocr import reasons
 from .structure import OUTSIDE, REGION, procedures
 
 
@@ -33,21 +35,19 @@ def judged_fragments(fragments: DataFrame, procedure_rows: DataFrame, context: D
     ends = procedure_rows.select("source", (F.col("page") + 1).alias("page"), (F.element_at("step_numbers", -1) + 1).alias("first_step")).distinct().withColumn("after_procedure", F.lit(True))
     f = f.join(ends, ["source", "page", "first_step"], "left").withColumn("after_procedure", F.coalesce("after_procedure", F.lit(False)))
     by_phase = F.col("n_phases") > 0
-    f = f.withColumn("own", by_phase | (F.col("same_chapter") & F.col("after_procedure"))).persist()
+    f = stash(f.withColumn("own", by_phase | (F.col("same_chapter") & F.col("after_procedure"))), "fragments")
     new = f.where("own").select(*REGION, "last_step")
     chained = None
     waiting = f.where("NOT own AND same_chapter").select(*REGION, "first_step", "last_step")
     while True:
         reached = new.select("source", (F.col("page") + 1).alias("page"), (F.col("last_step") + 1).alias("first_step")).distinct()
-        new = waiting.join(reached, ["source", "page", "first_step"], "left_semi").select(*REGION, "last_step").checkpoint()
+        new = stash(waiting.join(reached, ["source", "page", "first_step"], "left_semi").select(*REGION, "last_step"), "fragments-chained")
         if new.isEmpty():
             break
         chained = new if chained is None else chained.union(new)
-        waiting = waiting.join(new.select(*REGION), REGION, "left_anti")
+        waiting = stash(waiting.join(new.select(*REGION), REGION, "left_anti"), "fragments-waiting")
     mark = (chained if chained is not None else new).select(*REGION).withColumn("chained", F.lit(True))
     f = f.join(mark, REGION, "left").withColumn("chained", F.coalesce("chained", F.lit(False)))
-    from .ocr import reasons
-
     accepted = F.col("own") | F.col("chained")
     evidence = reasons(
         (by_phase, "manufacturer_phase_heading"),

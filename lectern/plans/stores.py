@@ -369,7 +369,7 @@ judged AS (SELECT *, CASE WHEN malformed > 0 THEN 'INVALID_CORRECTION_SQL' WHEN
 
 def _tsv_files(spark: SparkSession, d: str) -> DataFrame:
     """Documents as word tables: quotes, tabs in the last field, short lines, broken numbers, unknown confidences, other levels."""
-    docs = table(spark, d, "documents").select("doc_id", "lang", F.slice(F.split(F.regexp_replace("text", "[\t\r]", " "), "[ \n]+"), 1, 40).alias("w"))
+    docs = table(spark, d, "documents").select("doc_id", "lang", F.split(F.regexp_replace("text", "[\t\r]", " "), "[ \n]+").alias("w"))
 
     def line(word, i):
         k = F.col("doc_id") + i
@@ -391,7 +391,7 @@ def tsv_warnings(spark: SparkSession, d: str) -> DataFrame:
     return tsv.warnings(_tsv_files(spark, d)).select("page", "code", "line_number")
 
 
-_TSV_SQL = """w0 AS (SELECT doc_id, list_slice(regexp_split_to_array(regexp_replace(text, '[\t\r]', ' ', 'g'), '[ \n]+'), 1, 40) AS w FROM documents WHERE doc_id % 50 <> 7),
+_TSV_SQL = """w0 AS (SELECT doc_id, regexp_split_to_array(regexp_replace(text, '[\t\r]', ' ', 'g'), '[ \n]+') AS w FROM documents WHERE doc_id % 50 <> 7),
 w1 AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM w0),
 w2 AS (SELECT *, doc_id + i AS k FROM w1),
 rows0 AS (SELECT doc_id AS page, i, k, i + 2 AS line_number, CASE WHEN k % 19 = 0 THEN 0 ELSE 2 END AS block_num, i % 7 AS line_num, i AS word_num,
@@ -400,8 +400,8 @@ rows0 AS (SELECT doc_id AS page, i, k, i + 2 AS line_number, CASE WHEN k % 19 =
 
 
 def document_slugs(spark: SparkSession, d: str) -> DataFrame:
-    lines = table(spark, d, "documents").select("doc_id", F.split("text", "\n")[0].alias("line"))
-    return lines.select("doc_id", hierarchy.slug(F.col("line")).alias("slug"))
+    lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_num", "line"))
+    return lines.select("doc_id", "line_num", hierarchy.slug(F.col("line")).alias("slug"))
 
 
 def preview_pages(spark: SparkSession, d: str) -> DataFrame:
@@ -518,7 +518,8 @@ SELECT knowledge_key, CASE WHEN hit THEN 'DOC:39.2' || i ELSE image_ref END AS i
     "tsv_words": f"WITH {_TSV_SQL} SELECT page, block_num, line_num, word_num, 10 AS \"left\", CAST(conf AS DOUBLE) AS confidence, text FROM rows0 WHERE NOT short AND is_word AND text <> '' AND conf IS DISTINCT FROM 'bad'",
     "tsv_warnings": f"""WITH {_TSV_SQL} SELECT doc_id AS page, 'EMPTY_TSV' AS code, 0 AS line_number FROM documents WHERE doc_id % 50 = 7 UNION ALL SELECT doc_id, 'UNEXPECTED_TSV_HEADER', 1 FROM documents WHERE doc_id % 6 = 1 AND doc_id % 50 <> 7
 UNION ALL SELECT page, 'MALFORMED_TSV_ROW', line_number FROM rows0 WHERE short UNION ALL SELECT page, 'INVALID_TSV_WORD_ROW', line_number FROM rows0 WHERE NOT short AND is_word AND text <> '' AND conf = 'bad'""",
-    "document_slugs": """SELECT doc_id, coalesce(nullif(trim(regexp_replace(lower(regexp_replace(strip_accents(string_split(text, chr(10))[1]), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'unresolved') AS slug FROM documents""",
+    "document_slugs": """SELECT doc_id, line_num, coalesce(nullif(trim(regexp_replace(lower(regexp_replace(strip_accents(line), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'unresolved') AS slug
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_num FROM documents)""",
     "preview_pages": """WITH n AS (SELECT DISTINCT CAST(o_orderkey % 700 + 1 AS INTEGER) AS n_pages FROM orders), c AS (SELECT n_pages, unnest(range(1, 13)) AS p FROM n UNION SELECT n_pages, unnest([100, 200, 300, 400, n_pages]) FROM n
 UNION SELECT n_pages, greatest(1, least(n_pages, CAST(round_even(n_pages * s, 0) AS INTEGER))) FROM n, (VALUES (0.1::DOUBLE), (0.25), (0.5), (0.75), (0.9)) v(s) WHERE n_pages > 20)
 SELECT n_pages, string_agg(CAST(p AS VARCHAR), ',' ORDER BY p) AS pages FROM c WHERE p BETWEEN 1 AND n_pages GROUP BY 1""",
