@@ -132,7 +132,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
             yield pa.RecordBatch.from_arrays([k1.take(pa.array(rows, pa.int64())), k2.take(pa.array(rows, pa.int64())), pa.array(starts, pa.int32()), pa.array(stops, pa.int32())], names=["__k1", "__k2", "start", "stop"])
 
     found = sides.select("__k1", "__k2", "shift", "at", "lines", "sizes", "others").mapInArrow(run, "__k1 long, __k2 long, start int, stop int")
-    return c.stash(found.groupBy("__k1", "__k2").agg(F.collect_set(F.struct("start", "stop")).alias("runs")), "lines-runs")
+    runs = c.stash(found.groupBy("__k1", "__k2").agg(F.collect_set(F.struct("start", "stop")).alias("runs")), "lines-runs")
+    c.discard(profile, firsts, met, profiles)
+    return runs
 
 
 def _row_key(id_col: str, text_col: str) -> list:
