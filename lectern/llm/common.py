@@ -1,20 +1,20 @@
-"""Reading, stashing and vectorised byte work that the operators of this subpackage share."""
+"""Vectorised byte work and Arrow mapping that the operators of this subpackage share."""
 
 from __future__ import annotations
 
 import hashlib
-import os
 import sys
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.shared import discard, stash  # noqa: F401
+from ..sources.tables import table  # noqa: F401
+
 #: Bytes of text that a Python worker handles at once; one longer document is handled alone.
 PIECE = 1 << 20
 #: Longest span hashed with the shared power table; longer ones get their own.
@@ -22,27 +22,6 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines share: spark.checkpoint.dir; where it is unset, as in tests, one of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = os.path.join(tempfile.gettempdir(), "lectern-shared")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write df once to the shared folder and read it back: the lineage ends, and lost executors cost no recomputation."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lectern-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def with_columns(df: DataFrame, added: list[tuple[str, T.DataType]]) -> tuple[DataFrame, T.StructType]:
     """df without columns that clash with the added ones, and the schema with them; names are compared as Spark does, without case."""
     names = {n.lower() for n, _ in added}

@@ -176,7 +176,8 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 
     celled = c.stash(classes.mapInArrow(place, T.StructType([*classes.schema.fields, T.StructField("cell", T.LongType())])), "vectors-cells")
     counts = celled.groupBy("__group", "cell").agg(F.count(F.lit(1)).alias("n"))
-    dealt = celled.join(c.stash(counts, "vectors-counts"), ["__group", "cell"]).withColumn("part", F.pmod(F.xxhash64("__key"), F.ceil(F.col("n") / tile)))
+    counts = c.stash(counts, "vectors-counts")
+    dealt = celled.join(counts, ["__group", "cell"]).withColumn("part", F.pmod(F.xxhash64("__key"), F.ceil(F.col("n") / tile)))
     rep_type = classes.schema["rep"].dataType
 
     def pack(table: pa.Table) -> pa.Table:
@@ -221,12 +222,14 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
                     yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(links[at].astype(np.int64)), pa.array(ids[root[at]])], names=["rep", "n", "root"])
 
     links = c.stash(work.select("tile", "reps", "times", "raws", "tile_b", "reps_b", "times_b", "raws_b").mapInArrow(compare, "rep long, n long, root long"), "vectors-links")
+    c.discard(celled, counts, packed, pairs)
     sums = links.groupBy("rep").agg(F.sum("n").alias("n"))
     ends = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")), "vectors")
-    tops = ends.groupBy("root").agg(F.min("node").alias("top"))
-    tops = ends.join(c.stash(tops, "vectors-tops"), "root").select(F.col("node").alias("rep"), "top")
+    least = c.stash(ends.groupBy("root").agg(F.min("node").alias("top")), "vectors-tops")
+    tops = ends.join(least, "root").select(F.col("node").alias("rep"), "top")
     judged = classes.select("__key", F.col("rep").cast("long").alias("rep"), "times").join(sums, "rep", "left").join(tops, "rep", "left")
     judged = c.stash(judged.select("__key", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("top", "rep").cast(rep_type).alias("top")), "vectors-judged")
+    c.discard(classes, links, ends, least)
     out = found.select(F.col("__id").alias("vec_id"), "__key").join(judged, "__key", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("top", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
