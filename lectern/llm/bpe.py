@@ -18,8 +18,9 @@ from . import common as c
 
 #: White space as the vocabulary's normaliser and words take it, for a regular expression's class.
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: Words of a generation: a worker remembers those of the last full one and of the one that grows; what is met again stays.
-REMEMBERED = 1 << 18
+#: Words of a generation, and pairs: a worker remembers those of the last full one and of the one that grows; what is met again stays.
+#: About 200 bytes a word and 130 a pair, so less than 60 MB besides the vocabulary.
+REMEMBERED, REMEMBERED_PAIRS = 1 << 16, 1 << 17
 
 
 def byte_letters() -> list[str]:
@@ -53,8 +54,8 @@ class WordBpe:
         self.letters = byte_letters()
         self.own: dict[int, bool] = {}  # tokens that their own letters merge to
         self.fits: dict[int, bool] = {}  # pairs that stay a pair when merged from their letters
-        self.words: dict[str, tuple[bytes, str]] = {}  # ids as little-endian 32-bit numbers, and the tokens' names
-        self.before: dict[str, tuple[bytes, str]] = {}
+        self.words: dict[str, bytes] = {}  # ids as little-endian 32-bit numbers
+        self.before: dict[str, bytes] = {}
         self.merged = 0  # words that took exact merging, of self.asked
         self.asked = 0
 
@@ -129,7 +130,7 @@ class WordBpe:
         self.asked += len(new)
         self.merged += int(bad.sum())
         for w, p in zip(new, proposed):
-            self.words[w] = np.array(p, "<u4").tobytes(), " ".join([self.names[t] for t in p])
+            self.words[w] = np.array(p, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, str]]:
         """Ids of each text and what decoding them, special tokens kept, gives: the tokens' names joined by spaces."""
@@ -147,26 +148,23 @@ class WordBpe:
             parts.append(own)
         if len(self.words) > REMEMBERED:
             self.before, self.words = self.words, {}
-        if len(self.fits) > 4 * REMEMBERED:
+        if len(self.fits) > REMEMBERED_PAIRS:
             self.fits.clear()
         fresh.difference_update(self.words)
         for w in fresh & self.before.keys():
             self.words[w] = self.before[w]
         self.learn([w for w in fresh if w not in self.words])
-        get = self.words.__getitem__
+        get, name = self.words.__getitem__, self.names.__getitem__
         out = []
         for own in parts:
             ids: list[bytes] = []
-            said: list[str] = []
             for p in own:
                 if isinstance(p, int):
                     ids.append(np.array([p], "<u4").tobytes())
-                    said.append(self.names[p])
-                elif p:
-                    found = list(map(get, p))
-                    ids.extend([f[0] for f in found])
-                    said.extend([f[1] for f in found if f[1]])
-            out.append((np.frombuffer(b"".join(ids), "<u4"), " ".join(said)))
+                else:
+                    ids.extend(map(get, p))
+            whole = np.frombuffer(b"".join(ids), "<u4")
+            out.append((whole, " ".join(map(name, whole.tolist()))))
         return out
 
 

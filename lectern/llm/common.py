@@ -8,20 +8,50 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.shared import discard, stash  # noqa: F401
 from ..sources.tables import table  # noqa: F401
 
-#: Bytes of text that a Python worker handles at once; one longer document is handled alone.
-PIECE = 1 << 20
+#: Bytes of text that a Python worker handles at once; one longer document is handled alone. Bytes of a batch that goes to or from it.
+PIECE, BATCH = 1 << 20, 4 << 20
 #: Longest span hashed with the shared power table; longer ones get their own.
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have rows go to Python in batches of BATCH bytes, of which both sides hold several. This holds for the session from now on, as plans
+    are run after operators return; a smaller setting of the session's own stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    set_to = spark.conf.get(name, "64m").lower().removesuffix("b")
+    size = int(float(set_to.rstrip("kmg")) * {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(set_to[-1], 1))
+    if not 0 < size <= BATCH:
+        spark.conf.set(name, str(BATCH))
+
+
+#: Rows of a file of a held table, about.
+FILE_ROWS = 500_000
+
+
+def hold(df: DataFrame) -> DataFrame:
+    """Compute df and stash it in as few files as its rows need, however many partitions it came in; release() it when done. The rows are kept
+    in memory or on disk only until they are written. out._rows: their number."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = kept.count()
+    out = stash(kept.coalesce(rows // FILE_ROWS + 1), "held")
+    kept.unpersist()
+    out._rows = rows
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    discard(*frames)
+
+
 def with_columns(df: DataFrame, added: list[tuple[str, T.DataType]]) -> tuple[DataFrame, T.StructType]:
     """df without columns that clash with the added ones, and the schema with them; names are compared as Spark does, without case."""
     names = {n.lower() for n, _ in added}
@@ -33,6 +63,7 @@ def mapped(df: DataFrame, added: list[tuple[str, T.DataType]], make: Callable, *
     """Append columns that make(*text columns as Arrow string arrays) returns, batch by batch, piece by piece.
 
     make gets the columns named in texts (null for null) and returns one Arrow array for each added column."""
+    small_batches(df.sparkSession)
     kept, schema = with_columns(df, added)
     names = [n for n, _ in added]
 
@@ -88,6 +119,12 @@ def runs(kind: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nd
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
+def words_sql(column: str) -> str:
+    """The same words as a DuckDB list."""
+    lower = f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
 def words(data: np.ndarray, offsets: np.ndarray):
     """Words as `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` finds them once A-Z are lower-case."""
     return runs(WORD, data, offsets)

@@ -154,6 +154,7 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     An empty table gives no rows.
 
     Every pair of tiles of a label is compared whose boxes along the leading axes are not too far apart for any link: that skips nothing."""
+    c.small_batches(rows.sparkSession)
     found, kind = vectors(rows, id_col, vector_col, label_col)
     found = found.withColumn("__key", F.when(F.col("__id").isNotNull(), F.unhex(F.md5(F.concat(F.col("__group").cast("binary"), F.col("__raw"))))))
     found = c.stash(found, "vectors")
@@ -176,7 +177,7 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 
     celled = c.stash(classes.mapInArrow(place, T.StructType([*classes.schema.fields, T.StructField("cell", T.LongType())])), "vectors-cells")
     counts = celled.groupBy("__group", "cell").agg(F.count(F.lit(1)).alias("n"))
-    counts = c.stash(counts, "vectors-counts")
+    counts = c.hold(counts)
     dealt = celled.join(counts, ["__group", "cell"]).withColumn("part", F.pmod(F.xxhash64("__key"), F.ceil(F.col("n") / tile)))
     rep_type = classes.schema["rep"].dataType
 
@@ -196,7 +197,7 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     gaps = F.zip_with(F.arrays_zip("low", "high"), F.arrays_zip("low_b", "high_b"), lambda x, y: F.greatest(F.lit(0.0), x["low"] - y["high_b"], y["low_b"] - x["high"]))
     apart = F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g * g)
     pairs = box.join(other, "__group").where((F.col("tile") <= F.col("tile_b")) & (apart <= 2 - 2 * threshold + 1e-6)).select("tile", "tile_b")
-    pairs = c.stash(pairs, "vectors-pairs")
+    pairs = c.hold(pairs)
     side = packed.select("tile", "reps", "times", "raws")
     work = pairs.join(side, "tile").join(side.select(F.col("tile").alias("tile_b"), F.col("reps").alias("reps_b"), F.col("times").alias("times_b"), F.col("raws").alias("raws_b")), "tile_b")
 
@@ -221,15 +222,17 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
                 if len(at):
                     yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(links[at].astype(np.int64)), pa.array(ids[root[at]])], names=["rep", "n", "root"])
 
-    links = c.stash(work.select("tile", "reps", "times", "raws", "tile_b", "reps_b", "times_b", "raws_b").mapInArrow(compare, "rep long, n long, root long"), "vectors-links")
-    c.discard(celled, counts, packed, pairs)
+    links = c.hold(work.select("tile", "reps", "times", "raws", "tile_b", "reps_b", "times_b", "raws_b").mapInArrow(compare, "rep long, n long, root long"))
+    c.release(counts, pairs)
+    c.discard(celled, packed)
     sums = links.groupBy("rep").agg(F.sum("n").alias("n"))
-    ends = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")), "vectors")
-    least = c.stash(ends.groupBy("root").agg(F.min("node").alias("top")), "vectors-tops")
+    ends = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    least = c.hold(ends.groupBy("root").agg(F.min("node").alias("top")))
     tops = ends.join(least, "root").select(F.col("node").alias("rep"), "top")
     judged = classes.select("__key", F.col("rep").cast("long").alias("rep"), "times").join(sums, "rep", "left").join(tops, "rep", "left")
     judged = c.stash(judged.select("__key", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("top", "rep").cast(rep_type).alias("top")), "vectors-judged")
-    c.discard(classes, links, ends, least)
+    c.release(ends, least)
+    c.discard(classes, links)
     out = found.select(F.col("__id").alias("vec_id"), "__key").join(judged, "__key", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("top", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

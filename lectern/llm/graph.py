@@ -5,29 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import hold, release
 
+#: Rows of a table of nodes up to which it is broadcast (a few MB of ids or digests); larger ones are joined by merging.
+BROADCAST_ROWS = 100_000
 
-def components(links: DataFrame, name: str = "links") -> DataFrame:
+
+def components(links: DataFrame) -> DataFrame:
     """links: columns a, b of one type, nulls and loops ignored. Returns node, root for every node of a link; root is the same for all nodes
-    of a component and is one of them.
+    of a component and is one of them. The result is held: release() it.
 
     Each round maps every node to its least neighbour or itself and carries links and nodes over to those, so that every component
-    shrinks by a constant factor at least; a star ends in one round. Only per-node minima are grouped, and every round is written down."""
-    edges = stash(links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b").distinct(), f"{name}-edges")
+    shrinks by a constant factor at least; a star ends in one round. Only per-node minima are grouped, and every round's tables are held."""
+    edges = hold(links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b").distinct())
     roots = None
-    while not edges.isEmpty():
+    while edges._rows:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("node"), F.least("a", "least").alias("up"))
-        up = stash(up, f"{name}-up")
+        up = hold(both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("node"), F.least("a", "least").alias("up")))
+        near = F.broadcast(up) if up._rows <= BROADCAST_ROWS else up.hint("merge")
         if roots is None:
-            roots = up.select("node", F.col("up").alias("root"))
+            new = hold(up.select("node", F.col("up").alias("root")))
         else:
-            roots = roots.join(up.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("up", "root").alias("root"))
-            roots = stash(roots, f"{name}-roots")
-        first = edges.join(up.select(F.col("node").alias("a"), F.col("up").alias("ua")), "a").select("b", "ua")
-        second = first.join(up.select(F.col("node").alias("b"), F.col("up").alias("ub")), "b").select("ua", "ub")
-        edges = stash(second.where("ua <> ub").select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct(), f"{name}-edges")
+            new = hold(roots.join(near.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("up", "root").alias("root")))
+            release(roots)
+        roots = new
+        first = edges.join(near.select(F.col("node").alias("a"), F.col("up").alias("ua")), "a").select("b", "ua")
+        second = first.join(near.select(F.col("node").alias("b"), F.col("up").alias("ub")), "b").select("ua", "ub")
+        left = hold(second.where("ua <> ub").select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct())
+        release(edges, up)
+        edges = left
     if roots is None:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        roots = hold(edges.select(F.col("a").alias("node"), F.col("b").alias("root")))
+    release(edges)
     return roots

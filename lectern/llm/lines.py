@@ -97,20 +97,21 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     Texts are in the order of their ids (null last), and of a digest of the text where ids are equal. A run of lines with words, min_words
     words in all at least, is deleted if a fingerprint in it met the first place with the same key, earlier in that order or in the same
     text, and the lines around are equal as far as the run goes. First places themselves stay unless they repeat an earlier one."""
+    c.small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("__id"), *_row_key(id_col, text_col), F.col(text_col).alias("__text")).where("__text IS NOT NULL")
     profile = c.stash(_profiled(rows, min_words), "lines-profile")
     marks = profile.select("__id", "__k1", "__k2", F.explode(F.arrays_zip("keys", "places")).alias("m")).select("__id", "__k1", "__k2", F.col("m.keys").alias("key"), F.col("m.places").alias("at"))
     place = F.struct(F.col("__id").isNull().alias("last"), F.col("__id").alias("id"), F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), F.col("at").alias("at"))
     firsts = marks.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "first")
-    firsts = c.stash(firsts, "lines-firsts")
+    firsts = c.hold(firsts)
     met = marks.select("__k1", "__k2", "key", "at").join(firsts, "key").where("NOT (__k1 = first.k1 AND __k2 = first.k2 AND at = first.at)")
     met = met.select("__k1", "__k2", "at", F.col("first.k1").alias("s1"), F.col("first.k2").alias("s2"), F.col("first.at").alias("source"))
     # one meeting on each diagonal of two texts is enough for neighbouring ones that lie in the same run, but runs may be apart: all are carried
     met = met.groupBy("__k1", "__k2", "s1", "s2", (F.col("at") - F.col("source")).alias("shift")).agg(F.collect_set("at").alias("at"))
-    met = c.stash(met, "lines-met")
+    met = c.hold(met)
     profiles = profile.select("__k1", "__k2", "lines", "sizes").dropDuplicates(["__k1", "__k2"])
     wanted = met.select("__k1", "__k2").union(met.select(F.col("s1").alias("__k1"), F.col("s2").alias("__k2"))).distinct()
-    profiles = c.stash(profiles.join(wanted, ["__k1", "__k2"]), "lines-wanted")
+    profiles = c.hold(profiles.join(wanted, ["__k1", "__k2"]))
     sides = met.join(profiles, ["__k1", "__k2"])
     sides = sides.join(profiles.select(F.col("__k1").alias("s1"), F.col("__k2").alias("s2"), F.col("lines").alias("others")), ["s1", "s2"])
 
@@ -133,7 +134,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
 
     found = sides.select("__k1", "__k2", "shift", "at", "lines", "sizes", "others").mapInArrow(run, "__k1 long, __k2 long, start int, stop int")
     runs = c.stash(found.groupBy("__k1", "__k2").agg(F.collect_set(F.struct("start", "stop")).alias("runs")), "lines-runs")
-    c.discard(profile, firsts, met, profiles)
+    c.release(firsts, met, profiles)
+    c.discard(profile)
     return runs
 
 
@@ -186,3 +188,23 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = c.table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
+#: DuckDB: windows as strings, their first places, and the islands of equal lines on the diagonal of each meeting.
+OP6_SQL = f"""
+WITH raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS number FROM documents),
+counted AS (SELECT doc_id, number, line, len({c.words_sql("line")}) AS words FROM raw),
+own AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY number) AS p, sum(words) OVER (PARTITION BY doc_id ORDER BY number) AS upto FROM counted WHERE words > 0),
+ends AS (SELECT a.doc_id, a.p, min(b.p) AS q FROM own a JOIN own b ON b.doc_id = a.doc_id AND b.p >= a.p AND b.upto >= a.upto - a.words + {MIN_WORDS} GROUP BY 1, 2),
+spans AS (SELECT e.doc_id, e.p, string_agg(o.line, chr(10) ORDER BY o.p) AS window_text FROM ends e JOIN own o ON o.doc_id = e.doc_id AND o.p BETWEEN e.p AND e.q GROUP BY 1, 2),
+firsts AS (SELECT *, first_value(doc_id) OVER w AS d0, first_value(p) OVER w AS p0 FROM spans WINDOW w AS (PARTITION BY window_text ORDER BY doc_id, p)),
+met AS (SELECT doc_id, p, d0, p - p0 AS shift FROM firsts WHERE doc_id <> d0 OR p <> p0),
+diagonals AS (SELECT DISTINCT doc_id, d0, shift FROM met),
+alike AS (SELECT g.doc_id, g.d0, g.shift, a.p, a.words, a.number FROM diagonals g JOIN own a ON a.doc_id = g.doc_id JOIN own b ON b.doc_id = g.d0 AND b.p = a.p - g.shift AND b.line = a.line),
+islands AS (SELECT *, p - row_number() OVER (PARTITION BY doc_id, d0, shift ORDER BY p) AS island FROM alike),
+runs AS (SELECT doc_id, d0, shift, min(p) AS lo, max(p) AS hi, min(number) AS first_line, max(number) AS last_line FROM islands GROUP BY doc_id, d0, shift, island HAVING sum(words) >= {MIN_WORDS}),
+cut AS (SELECT DISTINCT r.doc_id, r.first_line, r.last_line FROM runs r JOIN met m ON m.doc_id = r.doc_id AND m.d0 = r.d0 AND m.shift = r.shift AND m.p BETWEEN r.lo AND r.hi),
+marked AS (SELECT c.doc_id, c.number, c.line, EXISTS (SELECT 1 FROM cut WHERE cut.doc_id = c.doc_id AND c.number BETWEEN cut.first_line AND cut.last_line) AS gone FROM counted c),
+done AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY number) FILTER (NOT gone), '') AS text FROM marked GROUP BY 1)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, x.text FROM documents d LEFT JOIN done x USING (doc_id)
+"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +22,7 @@ BANDS, ROWS = 25, 5
 #: Texts whose signatures agree less than this are not compared in full: five standard errors below the least similarity.
 MARGIN = 5.0
 #: Orders by which the first heads of bands are chosen, and rounds in which what stands apart meets another head of its band's largest component.
-ORDERS, ROUNDS = 3, 2
+ORDERS, ROUNDS = 3, 1
 #: A band of more texts in several components is compared by blocks of about so many.
 SMALL_BAND, BLOCK = 64, 512
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -174,13 +176,12 @@ def _mixed(placed: DataFrame, salt: int) -> DataFrame:
     best = F.max(F.struct("n", "root", "head")).alias("m")
     out = sums.groupBy("band").agg(best, F.count(F.lit(1)).alias("parts"), F.sum("n").alias("total")).where("parts > 1")
     out = out.select("band", F.col("m.root").alias("main"), F.col("m.head.k").alias("head"), "total", (F.col("total") - F.col("m.n")).alias("rest"))
-    return c.stash(out, "minhash-mixed")
+    return c.hold(out)
 
 
 def _small_pairs(placed: DataFrame, mixed: DataFrame, classes: DataFrame, least: float) -> DataFrame:
     """Of bands of up to SMALL_BAND texts, pairs in different components whose signatures agree well enough."""
     own = placed.join(mixed.where(f"total <= {SMALL_BAND}").select("band"), "band").join(classes.select("__key", "sig"), "__key")
-    own = c.stash(own, "minhash-apart")
     other = own.select("band", F.col("__key").alias("b"), F.col("root").alias("root_b"), F.col("sig").alias("sig_b"))
     pairs = own.withColumnRenamed("__key", "a").join(other, "band").where("root < root_b").select("a", "b", "sig", "sig_b")
     enough = plausible(least)
@@ -197,7 +198,7 @@ def _block_links(placed: DataFrame, mixed: DataFrame, classes: DataFrame, bag: D
     """Of larger bands, links between texts outside of the main component and all texts, by pairs of blocks: a block of the ones meets each
     block of the others, signatures are compared as a table, and texts that agree well enough are compared in full until they are joined."""
     own = placed.join(mixed.where(f"total > {SMALL_BAND}"), "band").join(classes.select("__key", "sig"), "__key").join(bag, "__key")
-    own = c.stash(own, "minhash-apart")
+    own = own.select("band", "rest", "total", "main", "__key", "root", "sig", "bag")
     dealt = lambda n: F.pmod(F.xxhash64("__key", F.lit(5)), F.ceil(F.col(n) / BLOCK))
 
     def pack(table: pa.Table) -> pa.Table:
@@ -210,7 +211,8 @@ def _block_links(placed: DataFrame, mixed: DataFrame, classes: DataFrame, bag: D
     columns = ["keys", "roots", "sigs", "sizes", "bags"]
     rest = own.where("root <> main").withColumn("block", dealt("rest")).select("band", "block", "__key", "root", "sig", "bag").groupBy("band", "block").applyInArrow(pack, schema)
     every = own.withColumn("block", dealt("total")).select("band", "block", "__key", "root", "sig", "bag").groupBy("band", "block").applyInArrow(pack, schema)
-    pairs = c.stash(rest, "minhash-rest").join(c.stash(every, "minhash-every").select("band", *[F.col(x).alias(f"{x}_b") for x in columns]), "band")
+    rest, every = c.stash(rest, "minhash-rest"), c.stash(every, "minhash-every")
+    pairs = rest.join(every.select("band", *[F.col(x).alias(f"{x}_b") for x in columns]), "band")
     enough = plausible(least)
 
     def run(batches):
@@ -243,7 +245,9 @@ def _block_links(placed: DataFrame, mixed: DataFrame, classes: DataFrame, bag: D
                             out.append((keys[k], keys_b[x]))
                 yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())], names=["a", "b"])
 
-    return pairs.select("band", *columns, *[f"{x}_b" for x in columns]).mapInArrow(run, "a binary, b binary")
+    out = c.hold(pairs.select("band", *columns, *[f"{x}_b" for x in columns]).mapInArrow(run, "a binary, b binary"))
+    c.release(rest, every)
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -257,6 +261,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     all, and none is put together in one task.
     Null text: a class and component of its own. Texts without words are linked with the same text only. Rows with a null id take part;
     ids of a class or component with other rows come from those. Repeated rows get equal rows. Empty table: no rows."""
+    c.small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("__id"), F.unhex(F.md5(F.col(text_col))).alias("__key"), F.col(text_col).alias("__text"))
     sketched = c.stash(_sketched(rows), "minhash-sketch")
     classes = sketched.where("__key IS NOT NULL").groupBy("__key").agg(F.min("__id").alias("class_id"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
@@ -264,33 +269,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = classes.select("__key", F.posexplode("bands").alias("at", "band"))
     order = F.xxhash64("__key", F.pmod(F.col("at"), F.lit(ORDERS)))
     heads = member.groupBy("band").agg(F.min(F.struct(order.alias("h"), F.col("__key").alias("k"))).alias("head"), F.count(F.lit(1)).alias("n"))
-    heads = c.stash(heads.where("n > 1").select("band", F.col("head.k").alias("head")), "minhash-heads")
-    member = c.stash(member.select("band", "__key").join(heads, "band"), "minhash-members")
+    heads = c.hold(heads.where("n > 1").select("band", F.col("head.k").alias("head")))
+    member = kept_members = c.stash(member.select("band", "__key").join(heads, "band"), "minhash-members")
     pairs = member.where("__key <> head").select(F.least("__key", "head").alias("a"), F.greatest("__key", "head").alias("b")).distinct()
     member = member.select("band", "__key")
     wanted = member.select("__key").distinct()
     wanted = classes.select("__key", F.col("class_id").alias("__id")).join(wanted, "__key").select(F.col("__key").alias("__k"), F.col("__id").alias("__i"))
     texts = rows.join(wanted.hint("merge"), rows["__key"].eqNullSafe(F.col("__k")) & rows["__id"].eqNullSafe(F.col("__i")), "left_semi")
     bag = c.stash(_bagged(texts.select("__key", "__text")).dropDuplicates(["__key"]), "minhash-bags")
-    links = c.stash(_verified(c.stash(pairs, "minhash-pairs"), bag, least), "minhash-links")
-    roots = components(links, "minhash")
+    c.release(heads)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = c.hold(pairs)
+        out = c.hold(_verified(pairs, bag, least))
+        c.release(pairs)
+        return out
+
+    def rooted(links: list[DataFrame], before: DataFrame | None = None) -> DataFrame:
+        if before is not None:
+            c.release(before)
+        return components(reduce(DataFrame.union, links))
+
+    links = [verified(pairs)]
+    roots = rooted(links)
     for salt in range(1, ROUNDS + 1):
-        placed = _placed(member, roots)
+        placed = c.hold(_placed(member, roots))
         mixed = _mixed(placed, salt)
         pairs = placed.join(mixed, "band").where("root <> main").select(F.least("__key", "head").alias("a"), F.greatest("__key", "head").alias("b")).distinct()
-        links = links.union(c.stash(_verified(c.stash(pairs, "minhash-pairs"), bag, least), "minhash-links"))
-        roots = components(links, "minhash")
-    placed = c.stash(_placed(member, roots), "minhash-placed")
+        links.append(verified(pairs))
+        c.release(placed, mixed)
+        roots = rooted(links, roots)
+    placed = c.hold(_placed(member, roots))
     mixed = _mixed(placed, 0)
-    more = c.stash(_verified(c.stash(_small_pairs(placed, mixed, classes, least), "minhash-pairs"), bag, least), "minhash-links")
-    links = links.union(more)
+    links.append(verified(_small_pairs(placed, mixed, classes, least)))
     if not mixed.where(f"total > {SMALL_BAND}").isEmpty():
-        links = links.union(c.stash(_block_links(placed, mixed, classes, bag, least), "minhash-links"))
-    roots = components(links, "minhash")
+        links.append(_block_links(placed, mixed, classes, bag, least))
+    roots = rooted(links, roots)
     grouped = classes.select("__key", "class_id").join(roots.withColumnRenamed("node", "__key"), "__key", "left")
     grouped = grouped.withColumn("root", F.coalesce("root", "__key"))
-    tops = grouped.groupBy("root").agg(F.min("class_id").alias("component_id"))
-    found = c.stash(grouped.join(c.stash(tops, "minhash-tops"), "root").select("__key", "class_id", "component_id"), "minhash-found")
+    tops = c.hold(grouped.groupBy("root").agg(F.min("class_id").alias("component_id")))
+    found = c.stash(grouped.join(tops, "root").select("__key", "class_id", "component_id"), "minhash-found")
+    c.release(tops, roots, placed, mixed)
+    c.discard(classes, kept_members, bag, *links)
     out = sketched.select(F.col("__id").alias("doc_id"), "__key").join(found, "__key", "left")
     out = out.withColumns({x: F.when(F.col("__key").isNull(), F.col("doc_id")).otherwise(F.col(x)) for x in ("class_id", "component_id")})
     return out.select("doc_id", "class_id", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "__key")
@@ -300,7 +320,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of docs that near_duplicates keeps, with their columns; of rows that repeat id and text one stays."""
     found = near_duplicates(docs, id_col, text_col, least)
     kept = found.where("kept").groupBy(F.col("doc_id").alias("__id"), F.col("__key").alias("__digest")).agg(F.count(F.lit(1)).alias("__n"))
-    kept = c.stash(kept, "minhash-kept")
+    kept = c.hold(kept)
     keyed = docs.withColumn("__digest", F.unhex(F.md5(F.col(text_col))))
     out = keyed.join(kept.hint("merge"), keyed[id_col].eqNullSafe(kept["__id"]) & keyed["__digest"].eqNullSafe(kept["__digest"]), "left_semi")
     if not kept.where("__n > 1 AND __digest IS NOT NULL").isEmpty():
@@ -311,3 +331,21 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = c.table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("doc_id", "class_id", "component_id", "kept")
+
+
+#: DuckDB: all pairs of distinct texts that share a shingle, and the components of those similar enough.
+OP5_SQL = f"""
+WITH RECURSIVE classes AS (SELECT text, min(doc_id) AS id FROM documents WHERE text IS NOT NULL GROUP BY text),
+w AS (SELECT id, {c.words_sql("text")} AS w FROM classes),
+sh AS (SELECT id, array_to_string(list_slice(w, i, i + 4), ' ') AS s FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+bag AS (SELECT id, s, count(*) AS n FROM sh GROUP BY 1, 2),
+total AS (SELECT id, sum(n) AS t FROM bag GROUP BY 1),
+shared AS (SELECT a.id AS a, b.id AS b, sum(least(a.n, b.n)) AS s FROM bag a JOIN bag b ON a.s = b.s AND a.id < b.id GROUP BY 1, 2),
+near AS (SELECT a, b FROM shared JOIN total x ON x.id = a JOIN total y ON y.id = b WHERE s >= {SIMILARITY} * (x.t + y.t - s)),
+links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+tops AS (SELECT a, min(b) AS b FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(c.id, d.doc_id) AS class_id, least(coalesce(c.id, d.doc_id), coalesce(t.b, c.id, d.doc_id)) AS component_id,
+       d.doc_id = least(coalesce(c.id, d.doc_id), coalesce(t.b, c.id, d.doc_id)) AS kept
+FROM documents d LEFT JOIN classes c ON c.text = d.text LEFT JOIN tops t ON t.a = c.id
+"""

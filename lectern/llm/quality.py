@@ -124,6 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Ratings with a null id or grade are left out; of several ratings of one document the lowest counts. The sample, by its bound, is
     broadcast to find the texts, and only distinct buckets of each sampled text come to the driver."""
+    c.small_batches(docs.sparkSession)
     rated = labels.select(F.col(id_col).alias("__id"), grade().alias("__grade")).where("__id IS NOT NULL AND __grade IS NOT NULL")
     rated = rated.groupBy("__id").agg(F.min("__grade").alias("__grade"))
     rated = rated.orderBy(F.xxhash64("__id"), "__id").limit(sample)

@@ -20,5 +20,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op2_urls": urls.OP2_SQL,
     "op4_embeddings": embeddings.OP4_SQL,
+    "op5_minhash": minhash.OP5_SQL,
+    "op6_lines": lines.OP6_SQL,
     "op7_decontaminate": decontaminate.OP7_SQL,
 }

@@ -70,6 +70,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     have one section without characters or tokens. Repeated rows give repeated rows, also with a null id; an empty table gives no rows."""
     if rule not in RULES:
         raise ValueError(f"rule: one of {RULES}")
+    c.small_batches(docs.sparkSession)
     if pattern is None:
         import public_tokenizers
 
