@@ -19,8 +19,8 @@ from . import common as c
 #: White space as the vocabulary's normaliser and words take it, for a regular expression's class.
 SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: Words of a generation, and pairs: a worker remembers those of the last full one and of the one that grows; what is met again stays.
-#: About 200 bytes a word and 130 a pair, so less than 60 MB besides the vocabulary.
-REMEMBERED, REMEMBERED_PAIRS = 1 << 16, 1 << 17
+#: About 200 bytes a word and 130 a pair, so less than 100 MB besides the vocabulary.
+REMEMBERED, REMEMBERED_PAIRS = 1 << 17, 1 << 18
 
 
 def byte_letters() -> list[str]:
