@@ -155,6 +155,13 @@ def test_html_blocks_and_boilerplate():
     assert html.main_text("<a href='>'>t</a>") == "t"
 
 
+@pytest.mark.parametrize("quote", "\"'")
+def test_html_takes_attribute_values_of_any_length(quote):
+    for n in (60_000, 65_536, 65_537, 70_000, 3_000_000):
+        page = f"<p>one</p><img src={quote}data:{'A' * n}{quote} alt={quote}pic{quote}><p>two</p><p>three <a href={quote}/x{quote}>link</a> four</p>"
+        assert html.main_text(page) == "one\n\ntwo\n\nthree link four"
+
+
 def test_style_tree_drops_repeated_branches_and_keeps_content(spark):
     rows = []
     for k in range(12):
