@@ -179,6 +179,21 @@ def test_style_tree_drops_repeated_branches_and_keeps_content(spark):
     assert html.extract(frame.limit(0)).count() == 0
 
 
+def test_style_tree_judges_pages_with_main_content(spark):
+    """Within articles repeated branches go, headings and repeated articles stay; beside a teaser, what the tree finds important stays."""
+    words = lambda k, n: " ".join(f"w{k}x{j}" for j in range(n))
+    rows = [(k, f"http://a.com/{k}", f"<article><h2>Method</h2><p>{words(k, 20)}</p><div class=x1><h3>More</h3><p>Sign up today</p></div></article><div class=x2><p>Short {k}</p></div>") for k in range(8)]
+    rows += [(20 + k, f"http://b.com/{k}", f"<div class=x3><p>All of it {words('b', 40)}</p></div><article class=x4><p>Teaser {k}</p></article><div class=c><p>{words(k, 20)}</p></div>") for k in range(8)]
+    rows += [(40 + k, f"http://c.com/{k}", f"<article><h1>Same</h1><p>{words('c', 10)}</p></article><div class=x5><p>Page {k}</p></div>") for k in range(6)]
+    rows += [(50, "http://d.com/", f"<article><p>Teaser</p></article><div class=c><p>{words(1, 5)}</p></div>")]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(8):
+        assert got[k] == f"Method\n\n{words(k, 20)}"
+        assert got[20 + k] == f"Teaser {k}\n\n{words(k, 20)}"
+    assert {got[40 + k] for k in range(6)} == {f"Same\n\n{words('c', 10)}"}
+    assert got[50] == f"Teaser\n\n{words(1, 5)}"
+
+
 def test_importance_is_guarded_by_content():
     nodes = [(1, 0, False, 10, 0.0, 0.0, 0), (2, 1, False, 10, 0.0, 1.0, 3), (3, 1, True, 10, 0.0, 1.0, 3), (4, 1, False, 2, 0.0, 1.0, 1), (5, 1, False, 10, 0.9, 0.1, 9)]
     nodes += [(6, 1, False, 10, 0.0, 0.0, 0), (7, 6, False, 10, 0.0, 1.0, 1), (8, 6, False, 10, 0.0, 0.95, 2), (9, 1, False, 10, 0.0, 0.0, 0), (10, 9, False, 10, 0.0, 1.0, 1), (11, 9, False, 10, 0.5, 0.3, 1)]
