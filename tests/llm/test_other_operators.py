@@ -162,6 +162,20 @@ def test_html_takes_attribute_values_of_any_length(quote):
         assert html.main_text(page) == "one\n\ntwo\n\nthree link four"
 
 
+@pytest.mark.parametrize(
+    "attributes",
+    ["title='The hidden valley'", "href=/hidden-gems", 'href="/hidden-gems"', 'href="/a?id=comments"', "href=/a?id=comments", 'data-id="share"', 'data-role="form"', "data-hidden", "hidden-x='y'", 'title="a > b class=ad"', 'alt=\'say "x" id=menu\'', "class=c class=ad", "x = 'class=ad'", "title=it's", 'a="b"title="hidden"'],
+)
+def test_html_reads_whole_attribute_names(attributes):
+    for tag in ("p", "a"):
+        assert html.main_text(f"<article><p>one</p><{tag} {attributes}>two</{tag}><p>that's three</p></article>").split("\n\n") == ["one", "two", "that's three"]
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN=''", "title='x'hidden", "title='x' Class = ad", "a=b id='menu'", 'x/role="form"/', "aria-hidden = true", "href=/a?b=c class='ad x'", "data-x style='display : none'"])
+def test_html_finds_attributes_among_others(attributes):
+    assert html.main_text(f"<article><p>one</p><p {attributes}>two</p><p>three</p></article>") == "one\n\nthree"
+
+
 def test_style_tree_drops_repeated_branches_and_keeps_content(spark):
     rows = []
     for k in range(12):
