@@ -10,16 +10,39 @@ from . import common as c
 #: Rounds of the network (even, so that halves return to their sides) and the key; a production run passes its own.
 ROUNDS = 8
 KEY = "change-me"
+#: What stands before a secret, and secrets: token characters (with a digit and a letter), perhaps in three parts, or hexadecimal digits.
+_SAYS_SECRET = r"(?i:(?<![A-Za-z])(?:token|secret|password|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)"
+_SECRET = r"(?:(?=[0-9A-Za-z_+/~\-]*[0-9])(?=[0-9A-Za-z_+/~\-]*[A-Za-z])[0-9A-Za-z_+/~\-]{8,}+(?:\.[0-9A-Za-z_\-]{8,}+){0,2}={0,2}|[0-9A-Fa-f]{32,64}(?![0-9A-Za-z]))"
+#: Lengths of IBANs by country: in groups of four, only the length tells where one ends.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_GROUPED = "|".join(f"(?:{names.replace(' ', '|')})[0-9]{{2}}(?:[ \\-][A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f"[ \\-][A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, names in IBAN_LENGTHS.items())
+#: Country codes of telephone numbers but 1, after a plus and perhaps with a trunk 0 in brackets; then a digit, perhaps after a mark if it begins
+#: a group of two or more, or is one digit before such a group.
+_COUNTRY = r"\+(?:7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|2[1-689][0-9]|3[578][0-9]|42[0-9]|5[09][0-9]|6[7-9][0-9]|8[0578][0-9]|9[679][0-9])(?: ?\(0\))?"
+_NEXT = r"(?:[ .\-/](?=[0-9]{2}|[0-9][ .\-/][0-9]{2}))?[0-9]"
+_ABROAD = rf"{_COUNTRY}(?:[ .\-/]?\([0-9]{{2,5}}\)(?:{_NEXT}){{4,9}}|(?:{_NEXT}){{6,13}})(?![0-9])(?![.\-/][0-9])"
+_PHONES = [
+    _ABROAD,
+    r"\+?[0-9]{1,3}[ .\-]?\([0-9]{2,4}\)[ .\-]?[0-9]{3,4}[ .\-]?[0-9]{3,4}(?![0-9])",
+    r"\+1[ .\-/]?[0-9]{3}[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}(?![0-9])(?![.\-/][0-9])",
+    r"\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}(?![0-9A-Za-z])(?![.\-/][0-9])",
+    r"(?<![0-9][.\-/])(?:1-)?[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9A-Za-z])(?![.\-/][0-9])",
+    r"(?<![0-9][.\-/])(?:1\.)?[0-9]{3}\.[0-9]{3}\.[0-9]{4}(?![0-9A-Za-z])(?![.\-/][0-9])",
+]
 #: Kinds in the order in which they are tried at a place of the text; each pattern takes a whole value.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?i:(?<![A-Za-z])(?:token|secret|password|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?)[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
-    "phone": r"(?<![0-9A-Za-z])\+?[0-9]{1,3}[ .\-]?\([0-9]{2,4}\)[ .\-]?[0-9]{3,4}[ .\-]?[0-9]{3,4}(?![0-9])",
+    "secret": _SAYS_SECRET + _SECRET,
+    "iban": rf"(?<![A-Za-z0-9])(?:[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}|{_GROUPED})(?![A-Za-z0-9])",
+    "phone": rf"(?<![0-9A-Za-z])(?:{'|'.join(_PHONES)})",
     "date": r"(?<![0-9A-Za-z.\-/])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-])",
     "ip": r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])",
-    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3})(?![0-9A-Za-z])",
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ \-][0-9]{4}){3}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{4,5})(?![0-9A-Za-z])",
 }
 _ANY = "|".join(PATTERNS.values())
 #: Dates that are permuted: from the first of these days on, so many days; SIDE * SIDE is the least square that holds them.
@@ -32,14 +55,14 @@ def _number(key: Column, *parts: Column) -> Column:
 
 
 def _shifted(half: Column, other: Column, turn: Column, key: Column, kind: str, sign: int) -> Column:
-    """Each letter of half moved within its class (digits, a-z, A-Z; a-f for secrets) by a keyed hash of the other half; others stay."""
-    letters = 6 if kind == "secret" else 26
+    """Each letter of half moved within its class (digits, a-z, A-Z; of secrets a-f and g-z apart, so that hexadecimal ones stay so) by a keyed hash of the other half; others stay."""
+    classes = [("[0-9]", 48, 10)] + ([("[a-f]", 97, 6), ("[g-z]", 103, 20), ("[A-F]", 65, 6), ("[G-Z]", 71, 20)] if kind == "secret" else [("[a-z]", 97, 26), ("[A-Z]", 65, 26)])
 
     def move(ch: Column, i: Column) -> Column:
         code = F.ascii(ch)
         by = _number(key, F.lit(kind), turn.cast("string"), F.lower(other), i.cast("string"))
         to = lambda first, size: F.char(F.lit(first) + F.pmod(code - first + sign * F.pmod(by, F.lit(size)), F.lit(size)))
-        return F.when(ch.rlike("[0-9]"), to(48, 10)).when(ch.rlike("[a-z]"), to(97, letters)).when(ch.rlike("[A-Z]"), to(65, letters)).otherwise(ch)
+        return F.coalesce(*[F.when(ch.rlike(letters), to(first, size)) for letters, first, size in classes], ch)
 
     return F.array_join(F.transform(F.split(half, ""), move), "")
 
@@ -73,12 +96,12 @@ def _luhn(digits: Column, shift: int = 0) -> Column:
     return F.aggregate(F.transform(F.split(F.reverse(digits), ""), weight), F.lit(0), lambda s, x: s + x) % 10
 
 
-def _refilled(shape: Column, digits: Column) -> Column:
-    """shape with its digits replaced in turn."""
+def _refilled(shape: Column, digits: Column, places: str = "[0-9]") -> Column:
+    """shape with its digits (or what places says) replaced in turn."""
     state = F.aggregate(
         F.split(shape, ""),
         F.struct(F.lit("").alias("said"), F.lit(1).alias("at")),
-        lambda s, ch: F.when(ch.rlike("[0-9]"), F.struct(F.concat(s["said"], F.substr(digits, s["at"], F.lit(1))).alias("said"), (s["at"] + 1).alias("at"))).otherwise(F.struct(F.concat(s["said"], ch).alias("said"), s["at"].alias("at"))),
+        lambda s, ch: F.when(ch.rlike(places), F.struct(F.concat(s["said"], F.substr(digits, s["at"], F.lit(1))).alias("said"), (s["at"] + 1).alias("at"))).otherwise(F.struct(F.concat(s["said"], ch).alias("said"), s["at"].alias("at"))),
     )
     return state["said"]
 
@@ -132,14 +155,17 @@ def _card(value: Column, key: Column, sign: int) -> Column:
 
 
 def _iban(value: Column, key: Column, sign: int) -> Column:
-    country, rest = F.substr(value, F.lit(1), F.lit(2)), F.substr(value, F.lit(5))
-    valid = _mod97(F.concat(rest, country, F.substr(value, F.lit(3), F.lit(2)))) == 1
+    plain = F.regexp_replace(value, "[^A-Z0-9]", "")
+    country, rest = F.substr(plain, F.lit(1), F.lit(2)), F.substr(plain, F.lit(5))
+    valid = _mod97(F.concat(rest, country, F.substr(plain, F.lit(3), F.lit(2)))) == 1
     body = permuted(rest, key, "iban", sign)
-    return F.when(valid, F.concat(country, F.lpad((98 - _mod97(F.concat(body, country, F.lit("00")))).cast("string"), 2, "0"), body))
+    new = F.concat(country, F.lpad((98 - _mod97(F.concat(body, country, F.lit("00")))).cast("string"), 2, "0"), body)
+    return F.when(valid, F.when(value == plain, new).otherwise(_refilled(value, new, "[A-Z0-9]")))
 
 
 def _phone(value: Column, key: Column, sign: int) -> Column:
-    lead = F.regexp_extract(value, r"^[^(]*", 0)
+    """The country code, or what stands for one, stays."""
+    lead = F.when(value.rlike(f"^(?:{_ABROAD})$"), F.regexp_extract(value, f"^{_COUNTRY}", 0)).when(value.contains("("), F.regexp_extract(value, r"^[^(]*", 0)).otherwise(F.regexp_extract(value, r"^(?:\+1|1[.\-])?", 0))
     rest = F.substr(value, F.length(lead) + 1)
     return F.concat(lead, _refilled(rest, permuted(_digits(rest), key, "phone", sign)))
 
@@ -156,8 +182,8 @@ def _email(value: Column, key: Column, sign: int) -> Column:
 
 
 def _secret(value: Column, key: Column, sign: int) -> Column:
-    body = F.regexp_extract(value, "[0-9A-Fa-f]{32,64}$", 0)
-    return F.concat(F.substr(value, F.lit(1), F.length(value) - F.length(body)), permuted(body, key, "secret", sign))
+    said = F.regexp_extract(value, f"^{_SAYS_SECRET}", 0)
+    return F.concat(said, permuted(F.substr(value, F.length(said) + 1), key, "secret", sign))
 
 
 _MAKE = {"email": _email, "secret": _secret, "iban": _iban, "phone": _phone, "date": _date, "ssn": _ssn, "ip": _ip, "card": _card}
@@ -175,7 +201,15 @@ def pseudonym(value: Column, key: Column, sign: int = 1) -> Column:
 
 def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY, sign: int = 1) -> DataFrame:
     """docs with every valid email address, secret, IBAN, phone number, date, social security number, IPv4 address and payment card number in
-    the text replaced by its pseudonym, and n_values (how many) appended.
+    the text that is written in a form below replaced by its pseudonym, and n_values (how many) appended.
+
+    Forms that are known: phone numbers with a plus, a country code and 6 to 13 digits after it (for +1 ten; for others 4 to 9 after an area code
+    in brackets), together or in groups between which one blank, dot, hyphen or slash stands; with up to three digits before an area code in
+    brackets; (ddd) ddd-dddd; ddd-ddd-dddd and ddd.ddd.dddd, perhaps after 1. IBANs written together, or in groups of four by their countries'
+    lengths; card numbers of 13 to 19 digits together, or of groups 4-4-4-4, 4-6-5 and 4-6-4. Secrets after the words token, secret, password
+    or api key with = or :, of 32 to 64 hexadecimal digits, or of 8 and more of letters, digits and _ + / ~ - with a digit and a letter (up to
+    three such parts with dots between). Other forms are not found: national numbers of other countries, three groups of digits with blanks
+    between, passwords with other marks or without a digit, secrets without such a word.
 
     Values are valid if their check digits, ranges or calendar say so; others stay. A pseudonym is valid of the same kind and form, equal values have equal ones in all
     documents (letter case apart: it is kept), and sign -1 with the same key brings the values back, but for social security numbers whose
