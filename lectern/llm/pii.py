@@ -35,7 +35,8 @@ _PHONES = [
 ]
 #: Kinds in the order in which they are tried at a place of the text; each pattern takes a whole value.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}",
+    # labels of a domain name have at most 63 letters and names at most 127 labels, so the loop over labels ends
+    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]{1,63}+(?:\.[A-Za-z0-9\-]{1,63}+){0,125}\.[A-Za-z]{2,63}",
     "secret": _SAYS_SECRET + _SECRET,
     "iban": rf"(?<![A-Za-z0-9])(?:[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}|{_GROUPED})(?![A-Za-z0-9])",
     "phone": rf"(?<![0-9A-Za-z])(?:{'|'.join(_PHONES)})",
@@ -47,6 +48,8 @@ PATTERNS = {
 _ANY = "|".join(PATTERNS.values())
 #: Dates that are permuted: from the first of these days on, so many days; SIDE * SIDE is the least square that holds them.
 FIRST_DAY, DAYS, SIDE = "1900-01-01", 73049, 271
+#: Steps by which a pseudonym outside of its range walks on at most: one in nine at a step for a social security number, so less than 1e-22 are left.
+WALK = 24
 
 
 def _number(key: Column, *parts: Column) -> Column:
@@ -54,17 +57,24 @@ def _number(key: Column, *parts: Column) -> Column:
     return F.conv(F.substring(F.sha2(F.concat_ws("|", key, *parts), 256), 1, 7), 16, 10).cast("long")
 
 
+def _let(value: Column, use) -> Column:
+    """use(value), with value computed once, however often and in whatever lambda it is read."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _shifted(half: Column, other: Column, turn: Column, key: Column, kind: str, sign: int) -> Column:
-    """Each letter of half moved within its class (digits, a-z, A-Z; of secrets a-f and g-z apart, so that hexadecimal ones stay so) by a keyed hash of the other half; others stay."""
+    """Each letter of half moved within its class (digits, a-z, A-Z; of secrets a-f and g-z apart, so that hexadecimal ones stay so) by a keyed
+    hash of the other half, which is made once, and of its place; others stay."""
     classes = [("[0-9]", 48, 10)] + ([("[a-f]", 97, 6), ("[g-z]", 103, 20), ("[A-F]", 65, 6), ("[G-Z]", 71, 20)] if kind == "secret" else [("[a-z]", 97, 26), ("[A-Z]", 65, 26)])
 
-    def move(ch: Column, i: Column) -> Column:
+    def move(digest: Column, ch: Column, i: Column) -> Column:
         code = F.ascii(ch)
-        by = _number(key, F.lit(kind), turn.cast("string"), F.lower(other), i.cast("string"))
+        by = _number(digest, i.cast("string"))
         to = lambda first, size: F.char(F.lit(first) + F.pmod(code - first + sign * F.pmod(by, F.lit(size)), F.lit(size)))
         return F.coalesce(*[F.when(ch.rlike(letters), to(first, size)) for letters, first, size in classes], ch)
 
-    return F.array_join(F.transform(F.split(half, ""), move), "")
+    digest = F.sha2(F.concat_ws("|", key, F.lit(kind), turn.cast("string"), F.lower(other)), 256)
+    return _let(digest, lambda d: F.array_join(F.transform(F.split(half, ""), lambda ch, i: move(d, ch, i)), ""))
 
 
 def permuted(value: Column, key: Column, kind: str, sign: int = 1) -> Column:
@@ -134,7 +144,7 @@ def _date(value: Column, key: Column, sign: int) -> Column:
     number = F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
     once = _pair(number, SIDE, key, "date", sign)
     # few results lie beyond the last day: walk on from them until one lies within
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(24)), once, lambda x, _: F.when(x >= DAYS, _pair(x, SIDE, key, "date", sign)).otherwise(x))
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), once, lambda x, _: F.when(x >= DAYS, _pair(x, SIDE, key, "date", sign)).otherwise(x))
     new = F.date_add(F.lit(FIRST_DAY).cast("date"), walked.cast("int"))
     said = F.coalesce(*[F.when(form == f, F.date_format(new, f)) for f in ("yyyy-MM-dd", "dd/MM/yyyy", "dd.MM.yyyy")])
     return F.when((number >= 0) & (number < DAYS) & (walked < DAYS), said)
@@ -171,9 +181,11 @@ def _phone(value: Column, key: Column, sign: int) -> Column:
 
 
 def _ssn(value: Column, key: Column, sign: int) -> Column:
-    valid = ~value.rlike(r"^(000|666|9)") & ~value.rlike(r"-00-|-0000$")
-    digits = permuted(_digits(value), key, "ssn", sign)
-    return F.when(valid, _refilled(value, digits))
+    given_out = lambda digits: ~digits.rlike("^(?:000|666|9|...00|.....0000)")
+    digits = _digits(value)
+    # one number in nine is none that is given out: walk on from such until one is
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), permuted(digits, key, "ssn", sign), lambda x, _: F.when(given_out(x), x).otherwise(permuted(x, key, "ssn", sign)))
+    return F.when(given_out(digits) & given_out(walked), _refilled(value, walked))
 
 
 def _email(value: Column, key: Column, sign: int) -> Column:
@@ -212,9 +224,9 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY, sign:
     between, passwords with other marks or without a digit, secrets without such a word.
 
     Values are valid if their check digits, ranges or calendar say so; others stay. A pseudonym is valid of the same kind and form, equal values have equal ones in all
-    documents (letter case apart: it is kept), and sign -1 with the same key brings the values back, but for social security numbers whose
-    pseudonym is none that is given out. Of an address the name before @ is replaced. Null stays null with n_values 0; texts without values stay
-    byte for byte; repeated rows are treated alike; an empty table gives no rows; an input column n_values is replaced."""
+    documents (letter case apart: it is kept), and sign -1 with the same key brings the values back. Of an address the name before @ is
+    replaced. Null stays null with n_values 0; texts without values stay byte for byte, of any length (no pattern repeats a group without a
+    bound, and a name's letters are moved by one digest of its other half); repeated rows are treated alike; an empty table gives no rows; an input column n_values is replaced."""
     text = F.col(f"`{text_col}`")
     names = [n for n in docs.columns if n.lower() != "n_values"]
     found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)))
@@ -228,4 +240,5 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: str = KEY, sign:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymise(c.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Every document with its values replaced; a run of one's own sets the key in spark.lectern.pseudonym.key."""
+    return pseudonymise(c.table(spark, sf_dir, "documents").select("doc_id", "text"), key=spark.conf.get("spark.lectern.pseudonym.key", KEY))
