@@ -33,16 +33,17 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH))
 
 
-#: Rows of a file of a held table, about.
-FILE_ROWS = 500_000
+#: Bytes of a file of a held table, about, as they are kept in memory.
+FILE_BYTES = 32 << 20
 
 
 def hold(df: DataFrame) -> DataFrame:
-    """Compute df and stash it in as few files as its rows need, however many partitions it came in; release() it when done. The rows are kept
+    """Compute df and stash it in as few files as its bytes need, however many partitions it came in; release() it when done. The rows are kept
     in memory or on disk only until they are written. out._rows: their number."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     rows = kept.count()
-    out = stash(kept.coalesce(rows // FILE_ROWS + 1), "held")
+    size = int(str(kept.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    out = stash(kept.coalesce(size // FILE_BYTES + 1), "held")
     kept.unpersist()
     out._rows = rows
     return out

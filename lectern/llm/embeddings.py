@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common as c
-from .graph import components
+from .graph import components, roots_of
 
 THRESHOLD = 0.93
 #: Vectors of a tile (about), vectors that the rotation and the cells are fitted on at most, and dimensions of a tile's box.
@@ -128,22 +128,6 @@ def linked(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, t
     return i[good], j[good]
 
 
-def roots_of(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
-    """The least node of each node's component, for links i - j between n nodes."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[i], root[j])
-        new = root.copy()
-        np.minimum.at(new, root[i], low)
-        np.minimum.at(new, root[j], low)
-        np.minimum.at(new, i, low)
-        np.minimum.at(new, j, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """One row per row of rows: vec_id, n_links, component_id (the least id reachable by links, its own included) and kept (vec_id =
     component_id).

@@ -301,7 +301,8 @@ def test_links_are_bounded_not_missed():
     assert set(zip(i.tolist(), j.tolist())) == want
 
 
-def test_components(spark):
+@pytest.mark.parametrize("last", [0, 30, graph.LAST_LINKS])
+def test_components(spark, last):
     rng = random.Random(9)
     links = [(rng.randint(0, 200), rng.randint(0, 200)) for _ in range(120)] + [(300 + k, 301 + k) for k in range(40)] + [(400, k) for k in range(401, 440)] + [(None, 1), (5, None), (7, 7)]
     root = {}
@@ -315,10 +316,15 @@ def test_components(spark):
         if a is not None and b is not None and a != b:
             p, q = sorted((find(a), find(b)))
             root[q] = p
-    got = {r.node: r.root for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(links, "a long, b long"), last).collect()}
     assert set(got) == set(root)
     names = collections.defaultdict(set)
     for n, r in got.items():
         names[r].add(find(n))
     assert all(len(x) == 1 for x in names.values()) and len(names) == len({find(n) for n in root})
-    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert graph.components(spark.createDataFrame([], "a long, b long"), last).count() == 0
+
+
+def test_components_of_a_chain_take_few_rounds(spark):
+    got = graph.components(spark.createDataFrame([(k, k + 1) for k in range(1999)], "a long, b long"), last=0)
+    assert got._rounds <= 15 and got.count() == 2000 and got.select("root").distinct().count() == 1
