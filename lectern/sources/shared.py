@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where it is unset, as in tests, a folder of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = os.path.join(tempfile.gettempdir(), "lectern-shared")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    """spark.checkpoint.dir; where it is unset, as in tests, a folder in the warehouse, which all machines share too."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/lectern-shared"
 
 
 def stash(df: DataFrame, name: str) -> DataFrame:

@@ -416,3 +416,15 @@ def test_native_column_signal(spark):
 
 def test_ink(spark):
     assert one(spark, integrity.ink_fraction(F.col("a")), [0, 255, 255, 249]) == 0.5
+
+
+def test_shared_folder_without_a_setting():
+    """A stand-in for a session whose spark.checkpoint.dir is unset, which no running session can be made to forget."""
+    from types import SimpleNamespace
+
+    from lectern.sources.shared import shared_dir
+
+    conf = {"spark.sql.warehouse.dir": "hdfs://x/warehouse/"}
+    assert shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)))) == "hdfs://x/warehouse/lectern-shared"
+    conf["spark.checkpoint.dir"] = "hdfs://x/own"
+    assert shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)))) == "hdfs://x/own"
