@@ -43,7 +43,7 @@ def vectors(rows: DataFrame, id_col: str, vector_col: str, label_col: str) -> tu
             for k in np.flatnonzero(known):
                 a, b = offsets[k], offsets[k + 1]
                 x = flat[a:b]
-                if names[k] is not None and not bad[a:b].any() and x.any() and np.isfinite(wide := float(x.astype(np.float64) @ x.astype(np.float64))) and wide > 0:
+                if names[k] is not None and not bad[a:b].any() and x.any():
                     raw[k], group[k] = x.tobytes(), f"{names[k]}|{b - a}"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(group, pa.string()), pa.array(raw, pa.binary())], names=["__id", "__group", "__raw"])
 
@@ -52,7 +52,9 @@ def vectors(rows: DataFrame, id_col: str, vector_col: str, label_col: str) -> tu
 
 
 def unit(raw: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; they are brought near it first, so that no square of a finite component is lost or infinite."""
     x = raw.astype(np.float64)
+    x = x / np.abs(x).max(1)[:, None]
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
@@ -122,7 +124,7 @@ def linked(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, t
     good = sums >= threshold
     close = np.flatnonzero(np.abs(sums - threshold) <= CLOSE)
     if len(close):
-        x, y = raw_a[i[close]].astype(np.float64), raw_b[j[close]].astype(np.float64)
+        x, y = (v / np.exp2(np.floor(np.log2(np.abs(v).max(1))))[:, None] for v in (raw_a[i[close]].astype(np.float64), raw_b[j[close]].astype(np.float64)))  # by powers of two: exactly
         dot = lambda p, q: np.einsum("ij,ij->i", p, q)
         good[close] = dot(x, y) / (np.sqrt(dot(x, x)) * np.sqrt(dot(y, y))) >= threshold
     return i[good], j[good]
@@ -135,7 +137,8 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     Vectors are compared if their labels are equal and not null and they have as many dimensions. Vectors that are null, empty, zero or hold
     null or non-finite components, and rows with a null id, link with nothing: n_links 0, a component of their own. Equal vectors of a label
     are compared once and count with their number, repeated rows too. An id that occurs with several vectors is one node of its components.
-    An empty table gives no rows.
+    Ids are whole numbers (of any integer type). Components may be as large or small as doubles can be. Other columns, whatever their names,
+    are not read. An empty table gives no rows.
 
     Every pair of tiles of a label is compared whose boxes along the leading axes are not too far apart for any link: that skips nothing."""
     c.small_batches(rows.sparkSession)

@@ -293,6 +293,12 @@ def test_vectors_edges(spark):
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 2, 1), (2, 2, 1), (2, 2, 1), (3, 0, 3)]
 
 
+def test_vectors_of_any_size_of_numbers(spark):
+    rows = [(1, [1e200, 2e200], 1), (2, [1e-200, 2e-200], 1), (3, [1.0, 2.0], 1), (4, [5e-324, 0.0], 1), (5, [1e308, 1e307], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4)}
+
+
 def test_links_are_bounded_not_missed():
     rng = np.random.default_rng(2)
     a, b = (embeddings.unit(rng.normal(size=(60, 40)) + rng.normal(size=40) * k) for k in (1, 1))
