@@ -53,6 +53,26 @@ def release(*frames: DataFrame) -> None:
     discard(*frames)
 
 
+#: Keys that can be hot at most: a key is if it has more than that part of all rows, and more than HOT_ROWS.
+HOT_KEYS, HOT_ROWS = 1000, 1000
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], counts: DataFrame, rows: int, how: str = "inner") -> DataFrame:
+    """left.join(right, on, how) for keys that may have a large part of left's rows. counts: the columns `on` and n, how many rows of left have
+    the key (keys of few rows may be missing); rows: how many rows left has in all.
+
+    A key with more than rows / HOT_KEYS rows is dealt to as many tasks as it has that many; its rows of right go to each. There are fewer than
+    HOT_KEYS such keys, whatever left is, so the list of them is broadcast."""
+    limit = max(rows // HOT_KEYS, HOT_ROWS)
+    hot = counts.where(F.col("n") > limit).select(*on, F.ceil(F.col("n") / limit).cast("int").alias("__salts"))
+    if hot.isEmpty():
+        return left.join(right, on, how)
+    hot = F.broadcast(hot)
+    salted = left.join(hot, on, "left").withColumn("__salt", F.when(F.col("__salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*left.columns), F.col("__salts")).cast("int"))).drop("__salts")
+    copies = right.join(hot, on, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__salts")
+    return salted.join(copies, [*on, "__salt"], how).drop("__salt")
+
+
 def with_columns(df: DataFrame, added: list[tuple[str, T.DataType]]) -> tuple[DataFrame, T.StructType]:
     """df without columns that clash with the added ones, and the schema with them; names are compared as Spark does, without case."""
     names = {n.lower() for n, _ in added}

@@ -1,4 +1,4 @@
-"""Line dedup by winnowing: window minima of line hashes are fingerprints; their positions are joined, matches extended both ways, and later repeats deleted."""
+"""Line dedup by winnowing: of the grams in each window the least is a fingerprint; positions of equal fingerprints are joined, matches extended both ways, and later repeats deleted."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from . import common as c
 
 #: Words of a window, and so of the shortest run of lines that is found for certain and deleted.
 MIN_WORDS = 50
+#: Words of a gram, the shortest run of lines whose hash can be a fingerprint: a line that is common by itself and shorter is none.
+GRAM_WORDS = 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -28,36 +30,57 @@ def lines(texts: pa.Array) -> tuple[np.ndarray, ...]:
     return c.span_hash(data, starts[full], ends[full]), n_words[full], number, np.searchsorted(full, all_bounds), data, starts, ends, all_bounds
 
 
-def fingerprints(hashes: np.ndarray, n_words: np.ndarray, bounds: np.ndarray, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each window (the shortest run of lines from a line on that has min_words words) the least line hash: text, key, position.
+def _runs(total: np.ndarray, size: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From each line on the shortest run of `size` words: where it ends (beyond all lines if there is none), and the sums that digests are made of."""
+    stop = np.searchsorted(total, total[:-1] + size)
+    up, _ = c._power(len(hashes) + 1)
+    return stop, np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[: len(hashes)], dtype=np.uint64)])
 
-    The key joins the least hash with a digest of its window, so that a line which is common by itself meets only its like surroundings.
-    Windows depend on their own lines alone: two texts that share a run of min_words words share a key there."""
-    n = len(hashes)
+
+def _digest(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    _, down = c._power(len(sums))
+    return c.mix(c.mix((sums[stop] - sums[start]) * down[start]) ^ (stop - start).astype(np.uint64))
+
+
+def fingerprints(hashes: np.ndarray, n_words: np.ndarray, bounds: np.ndarray, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> tuple[np.ndarray, ...]:
+    """Winnowing: a window is the shortest run of lines from a line on that has min_words words, a gram that of gram_words; of the grams within
+    a window the one of least hash (the last of equals) is its fingerprint. Neighbouring windows mostly share theirs.
+
+    Returns of each fingerprint its text, key (the gram's hash), position and a digest of its surroundings, which are all the windows that chose
+    it; and of each window its digest and the number of its fingerprint. Two texts that share a window share its fingerprint, in the same place
+    of the window; fingerprints of equal surroundings were chosen by the same windows."""
     total = np.concatenate([[0], np.cumsum(n_words)])
     doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    stop = np.searchsorted(total, total[:-1] + min_words) if n else np.zeros(0, np.int64)
+    stop, sums = _runs(total, min_words, hashes)
     at = np.flatnonzero(stop <= bounds[1:][doc])
+    if not len(at):
+        return (np.zeros(0, np.int64),) * 6
+    gram_stop, _ = _runs(total, min(gram_words, min_words), hashes)
+    grams = _digest(sums, np.arange(len(hashes)), np.minimum(gram_stop, len(hashes)))
     stop = stop[at]
-    best, where = hashes[at].copy() if n else np.zeros(0, np.uint64), at.copy()
-    k, going = 1, np.flatnonzero(stop - at > 1)
+    last = np.searchsorted(gram_stop, stop, "right")  # grams up to this one end within the window
+    best, where = grams[at], at.copy()
+    k, going = 1, np.flatnonzero(last - at > 1)
     while len(going):
-        h = hashes[at[going] + k]
+        h = grams[at[going] + k]
         less = going[h <= best[going]]
-        best[less], where[less] = hashes[at[less] + k], at[less] + k
+        best[less], where[less] = grams[at[less] + k], at[less] + k
         k += 1
-        going = going[stop[going] - at[going] > k]
-    up, down = c._power(n + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[:n], dtype=np.uint64)])
-    digest = (sums[stop] - sums[at]) * down[at]
-    key = c.mix(c.mix(digest) ^ best * _STEP ^ (stop - at).astype(np.uint64))
-    found = np.unique(np.stack([doc[at], key.astype(np.int64), where - bounds[doc[at]]]), axis=1) if len(at) else np.zeros((3, 0), np.int64)
-    return found[0], found[1], found[2]
+        going = going[last[going] - at[going] > k]
+    windows = _digest(sums, at, stop)
+    first = np.flatnonzero(np.diff(where, prepend=-1))  # windows that choose a fingerprint lie side by side
+    number = np.cumsum(np.diff(where, prepend=-1) != 0) - 1
+    end = np.append(first[1:], len(at)) - 1
+    place = where[first]
+    around = c.mix(_digest(sums, at[first], stop[end]) ^ (place - at[first]).astype(np.uint64) * _STEP)
+    return doc[place], best[first].astype(np.int64), place - bounds[doc[place]], around.astype(np.int64), windows.astype(np.int64), number
 
 
 def _profiled(rows: DataFrame, min_words: int) -> DataFrame:
-    """__id, __k1, __k2, __text -> without the text, with hashes and sizes of lines, and the fingerprints' keys and positions."""
+    """__id, __k1, __k2, __text -> without the text, with hashes and sizes of lines, the fingerprints' keys, places and surroundings, and the
+    windows' digests with the key and place of their fingerprint."""
     names = ["__id", "__k1", "__k2"]
+    lists = [("keys", T.LongType()), ("places", T.IntegerType()), ("around", T.LongType()), ("windows", T.LongType()), ("chosen", T.LongType()), ("chosen_at", T.IntegerType())]
 
     def run(batches):
         for batch in batches:
@@ -65,22 +88,43 @@ def _profiled(rows: DataFrame, min_words: int) -> DataFrame:
             rest = batch.select(names)
             for i, j in c.pieces(texts):
                 hashes, n_words, _, bounds, *_ = lines(texts.slice(i, j - i))
-                doc, key, at = fingerprints(hashes, n_words, bounds, min_words)
+                doc, key, at, around, windows, number = fingerprints(hashes, n_words, bounds, min_words)
                 cut = np.searchsorted(doc, np.arange(j - i + 1)).astype(np.int32)
+                cut_windows = np.searchsorted(doc[number], np.arange(j - i + 1)).astype(np.int32)
                 own = [(hashes[a:b].tobytes(), n_words[a:b].astype("<i4").tobytes()) for a, b in zip(bounds, bounds[1:])]
-                new = [
-                    pa.array([h for h, _ in own], pa.binary()),
-                    pa.array([w for _, w in own], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(cut), pa.array(key)),
-                    pa.ListArray.from_arrays(pa.array(cut), pa.array(at.astype(np.int32))),
-                ]
-                yield pa.RecordBatch.from_arrays([*rest.slice(i, j - i).columns, *new], names=[*names, "lines", "sizes", "keys", "places"])
+                at = at.astype(np.int32)
+                new = [pa.array([h for h, _ in own], pa.binary()), pa.array([w for _, w in own], pa.binary())]
+                new += [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (key, at, around)]
+                new += [pa.ListArray.from_arrays(pa.array(cut_windows), pa.array(x)) for x in (windows, key[number], at[number])]
+                yield pa.RecordBatch.from_arrays([*rest.slice(i, j - i).columns, *new], names=[*names, "lines", "sizes", *(x for x, _ in lists)])
 
     fields = [rows.schema[n] for n in names]
-    fields += [T.StructField("lines", T.BinaryType()), T.StructField("sizes", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("places", T.ArrayType(T.IntegerType()))]
+    fields += [T.StructField("lines", T.BinaryType()), T.StructField("sizes", T.BinaryType()), *(T.StructField(x, T.ArrayType(t)) for x, t in lists)]
     return rows.mapInArrow(run, T.StructType(fields))
 
 
+def _meetings(marks: DataFrame, key: str) -> DataFrame:
+    """marks: __id, __k1, __k2, at and a key. Of each key with several places: those but the first, with the first (s1, s2, source)."""
+    first = F.struct(F.col("first.k1").alias("k1"), F.col("first.k2").alias("k2"), F.col("first.at").alias("at"))
+    firsts = _firsts(marks, key).where("n > 1").select(key, "n", first.alias("first"))
+    return _met(marks, c.hold(firsts), key)
+
+
+def _firsts(marks: DataFrame, key: str, *more) -> DataFrame:
+    place = F.struct(F.col("__id").isNull().alias("last"), F.col("__id").alias("id"), F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), F.col("at").alias("at"))
+    return marks.groupBy(key).agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), *more)
+
+
+def _met(marks: DataFrame, firsts: DataFrame, key: str) -> DataFrame:
+    """marks that are not the first places (k1, k2, at) of their keys, with those; the result is held, and firsts are released."""
+    rows = firsts.agg(F.sum("n")).first()[0] or 0
+    met = c.spread_join(marks.select("__k1", "__k2", key, "at"), firsts.select(key, "first"), [key], firsts.select(key, "n"), rows)
+    met = met.where("NOT (__k1 = first.k1 AND __k2 = first.k2 AND at = first.at)")
+    out = c.hold(met.select("__k1", "__k2", "at", F.col("first.k1").alias("s1"), F.col("first.k2").alias("s2"), F.col("first.at").alias("source")))
+    c.release(firsts)
+    return out
+
+
 def extended(own: np.ndarray, other: np.ndarray, sizes: np.ndarray, at: int, source: int) -> tuple[int, int]:
     """The longest run of own around `at` that equals the run of other around `source`: [from, to)."""
     back = min(at, source)
@@ -95,25 +139,36 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     """Runs of lines to delete: __k1, __k2 (the text's row key) and runs, an array of [from, to) over its lines with words.
 
     Texts are in the order of their ids (null last), and of a digest of the text where ids are equal. A run of lines with words, min_words
-    words in all at least, is deleted if a fingerprint in it met the first place with the same key, earlier in that order or in the same
-    text, and the lines around are equal as far as the run goes. First places themselves stay unless they repeat an earlier one."""
+    words in all at least, is deleted if a window in it has an earlier place, in that order or in the same text, and the lines around are
+    equal to those around the window's first place as far as the run goes. First places themselves stay unless they repeat an earlier one.
+
+    Positions are joined by fingerprints. Most fingerprints that occur again have the same surroundings everywhere, so their first place is
+    that of all their windows. Those with different surroundings (a licence's line, say) are told apart by the digests of their windows, so that
+    no place hides a passage that begins elsewhere; keys of very many places are dealt to several tasks."""
     c.small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("__id"), *_row_key(id_col, text_col), F.col(text_col).alias("__text")).where("__text IS NOT NULL")
     profile = c.stash(_profiled(rows, min_words), "lines-profile")
-    marks = profile.select("__id", "__k1", "__k2", F.explode(F.arrays_zip("keys", "places")).alias("m")).select("__id", "__k1", "__k2", F.col("m.keys").alias("key"), F.col("m.places").alias("at"))
-    place = F.struct(F.col("__id").isNull().alias("last"), F.col("__id").alias("id"), F.col("__k1").alias("k1"), F.col("__k2").alias("k2"), F.col("at").alias("at"))
-    firsts = marks.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "first")
-    firsts = c.hold(firsts)
-    met = marks.select("__k1", "__k2", "key", "at").join(firsts, "key").where("NOT (__k1 = first.k1 AND __k2 = first.k2 AND at = first.at)")
-    met = met.select("__k1", "__k2", "at", F.col("first.k1").alias("s1"), F.col("first.k2").alias("s2"), F.col("first.at").alias("source"))
+    exploded = lambda *names: profile.select("__id", "__k1", "__k2", F.explode(F.arrays_zip(*names)).alias("m"))
+    marks = exploded("keys", "places", "around").select("__id", "__k1", "__k2", F.col("m.keys").alias("key"), F.col("m.places").alias("at"), F.col("m.around").alias("around"))
+    firsts = c.hold(_firsts(marks, "key", F.min("around").alias("low"), F.max("around").alias("high")).where("n > 1").select("key", "n", "low", "high", F.struct("first.k1", "first.k2", "first.at").alias("first")))
+    alike, mixed = c.hold(firsts.where("low = high").select("key", "n", "first")), c.hold(firsts.where("low <> high").select("key", "n"))
+    c.release(firsts)
+    windows = exploded("windows", "chosen", "chosen_at").select("__id", "__k1", "__k2", F.col("m.windows").alias("window"), F.col("m.chosen").alias("key"), F.col("m.chosen_at").alias("at"))
+    many = mixed.agg(F.sum("n")).first()[0] or 0
+    # of a mixed key some windows are chosen together: they are as many as its marks, at least, so its share of them is estimated by those
+    windows = c.hold(c.spread_join(windows, mixed.select("key"), ["key"], mixed, many).drop("key"))
+    met, again = _met(marks, alike, "key"), _meetings(windows, "window")
     # one meeting on each diagonal of two texts is enough for neighbouring ones that lie in the same run, but runs may be apart: all are carried
-    met = met.groupBy("__k1", "__k2", "s1", "s2", (F.col("at") - F.col("source")).alias("shift")).agg(F.collect_set("at").alias("at"))
-    met = c.hold(met)
+    sides = met.union(again).groupBy("__k1", "__k2", "s1", "s2", (F.col("at") - F.col("source")).alias("shift")).agg(F.collect_set("at").alias("at"))
+    sides = c.hold(sides)
+    c.release(met, again, windows, mixed)
     profiles = profile.select("__k1", "__k2", "lines", "sizes").dropDuplicates(["__k1", "__k2"])
-    wanted = met.select("__k1", "__k2").union(met.select(F.col("s1").alias("__k1"), F.col("s2").alias("__k2"))).distinct()
+    wanted = sides.select("__k1", "__k2").union(sides.select(F.col("s1").alias("__k1"), F.col("s2").alias("__k2"))).distinct()
     profiles = c.hold(profiles.join(wanted, ["__k1", "__k2"]))
-    sides = met.join(profiles, ["__k1", "__k2"])
-    sides = sides.join(profiles.select(F.col("__k1").alias("s1"), F.col("__k2").alias("s2"), F.col("lines").alias("others")), ["s1", "s2"])
+    others = profiles.select(F.col("__k1").alias("s1"), F.col("__k2").alias("s2"), F.col("lines").alias("others"))
+    sources = c.hold(sides.groupBy("s1", "s2").agg(F.count(F.lit(1)).alias("n")))
+    met = sides
+    sides = c.spread_join(sides.join(profiles, ["__k1", "__k2"]), others, ["s1", "s2"], sources, sides._rows)
 
     def run(batches):
         for batch in batches:
@@ -134,7 +189,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
 
     found = sides.select("__k1", "__k2", "shift", "at", "lines", "sizes", "others").mapInArrow(run, "__k1 long, __k2 long, start int, stop int")
     runs = c.stash(found.groupBy("__k1", "__k2").agg(F.collect_set(F.struct("start", "stop")).alias("runs")), "lines-runs")
-    c.release(firsts, met, profiles)
+    c.release(met, profiles, sources)
     c.discard(profile)
     return runs
 

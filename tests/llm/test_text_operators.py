@@ -334,6 +334,41 @@ def test_lines_equal_brute_force(spark):
         assert (r.text, r.n_lines, r.n_removed) == want.get((r.doc_id, text[r.doc_id]), (None, 0, 0)), r.doc_id
 
 
+def test_lines_with_hot_keys_equal_brute_force(spark, monkeypatch):
+    """Every key that repeats is dealt to several tasks."""
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    monkeypatch.setattr(common, "HOT_KEYS", 1 << 30)
+    docs = line_docs(11)
+    want, text = brute_lines(docs), dict(docs)
+    for r in lines.dedup_lines(frame(spark, docs)).collect():
+        assert (r.text, r.n_lines, r.n_removed) == want.get((r.doc_id, text[r.doc_id]), (None, 0, 0)), r.doc_id
+
+
+def test_winnowing_chooses_few_grams_and_the_same_in_equal_windows():
+    rng = random.Random(2)
+    said = ["\n".join(" ".join(f"w{rng.randint(0, 99)}" for _ in range(rng.randint(6, 12))) for _ in range(200)) for _ in range(20)]
+    passage = "\n".join(said[0].split("\n")[50:58])
+    said.append("\n".join(["x y z", passage, "an end"]))
+    hashes, n_words, _, bounds, *_ = lines.lines(pa.array(said))
+    doc, key, at, around, windows, number = lines.fingerprints(hashes, n_words, bounds)
+    assert len(doc) < 0.5 * len(windows) and len(number) == len(windows) and number[-1] == len(doc) - 1
+    mine = set(key[doc == 20].tolist()) & set(key[(doc == 0) & (at >= 50) & (at < 58)].tolist())
+    assert mine and all(n in np.unique(number) for n in range(len(doc)))
+    by_window = collections.defaultdict(set)
+    for w, n in zip(windows.tolist(), number.tolist()):
+        by_window[w].add(int(key[n]))
+    assert all(len(x) == 1 for x in by_window.values())
+
+
+def test_common_lines_hide_no_passage(spark):
+    """A line of a licence, met first elsewhere, begins a passage that two later documents share."""
+    licence = " ".join(f"licence{k}" for k in range(30))
+    rest = "\n".join(" ".join(f"{x}{k}" for k in range(25)) for x in "pq")
+    docs = [(1, licence + "\nown"), (2, f"{licence}\n{rest}"), (3, f"its own\n{licence}\n{rest}\nend"), (4, f"{licence}\nother")]
+    got = {r.doc_id: r.text for r in lines.dedup_lines(frame(spark, docs)).collect()}
+    assert got == {**dict(docs), 3: "its own\nend"}
+
+
 def test_lines_leave_no_repeated_window(spark):
     rows = lines.dedup_lines(frame(spark, line_docs(8))).collect()
     assert sum(r.n_removed for r in rows) > 0
