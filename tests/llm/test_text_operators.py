@@ -75,7 +75,10 @@ def brute_hits(text, items, window=10):
     return len(ws), len(hit), sorted(found)
 
 
-def test_decontamination_equals_brute_force(spark):
+@pytest.mark.parametrize("block_bytes", [decontaminate.BLOCK_BYTES, 30])
+def test_decontamination_equals_brute_force(spark, block_bytes, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(common, "HOT_ROWS", 1)
     rng = random.Random(5)
     vocabulary = ["the", "of", "Ä", "b2", "c", "dd"]
     items = [(k, random_text(rng, vocabulary, rng.choice([0, 1, 3, 9, 10, 11, 25]))) for k in range(12)] + [(100, None), (3, "the of c"), (7, "solo")]
@@ -89,6 +92,24 @@ def test_decontamination_equals_brute_force(spark):
         assert (r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (i, n, hit, len(found), sha, hit > 0)
 
 
+def test_decontamination_by_a_hundred_blocks(spark, monkeypatch):
+    """As by one automaton, with texts that meet several blocks, copies of a text, and blocks whose texts are dealt to several tasks."""
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(40)]
+    items = [(k, random_text(rng, vocabulary, rng.choice([4, 12, 30, 60]))) for k in range(250)]
+    pieces = [" ".join(t.split()[:14]) for _, t in items]
+    docs = [(k, " ".join([random_text(rng, vocabulary, 30), *rng.sample(pieces, k % 5), random_text(rng, vocabulary, 20)])) for k in range(120)]
+    docs += [(200 + k, docs[3][1]) for k in range(50)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    flagged, left = rows(decontaminate.flag(frame(spark, docs), bench)), rows(decontaminate.remove(frame(spark, docs), bench))
+    size = sum(len(t) for _, t in items)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size // 100)
+    monkeypatch.setattr(decontaminate, "BLOCK_TEXTS", 3)
+    assert rows(decontaminate.flag(frame(spark, docs), bench)) == flagged and sum(r[-1] for r in flagged) > 50
+    assert rows(decontaminate.remove(frame(spark, docs), bench)) == left
+
+
 def test_decontamination_removes_passages_and_keeps_clean_texts(spark):
     item = " ".join(f"w{k}" for k in range(14))
     docs = [(1, "Before, it. " + item + "! After it a tail of its own words that goes on and on for long enough to stay."), (2, "clean  text\n"), (3, item), (4, None)]
