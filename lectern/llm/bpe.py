@@ -221,5 +221,6 @@ def decode(rows: DataFrame, vocabulary: str | None = None, ids_col: str = "ids")
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's tokens and of what they decode to."""
     out = encode(c.table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -460,6 +460,7 @@ def remove(docs: DataFrame, items: DataFrame, id_col: str = "item_id", item_text
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits of every document with the benchmark's items."""
     docs = c.table(spark, sf_dir, "documents").select("doc_id", "text")
     out = flag(docs, c.table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")

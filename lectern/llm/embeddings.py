@@ -226,6 +226,7 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
 
 
 def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
     out = near_vectors(c.table(spark, sf_dir, "embeddings"))
     return out.select(F.col("vec_id").cast("long"), "n_links", F.col("component_id").cast("long"), "kept")
 

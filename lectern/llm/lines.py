@@ -241,6 +241,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that an earlier one has."""
     docs = c.table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 

@@ -19,12 +19,13 @@ SHINGLE = 5
 SIMILARITY = 0.8
 COMPONENTS = 128
 BANDS, ROWS = 25, 5
-#: Texts whose signatures agree less than this are not compared in full: five standard errors below the least similarity.
-MARGIN = 5.0
 #: Orders by which the first heads of bands are chosen, and rounds in which what stands apart meets another head of its band's largest component.
 ORDERS, ROUNDS = 3, 1
-#: A band of more texts in several components is compared by blocks of about so many.
-SMALL_BAND, BLOCK = 64, 512
+#: A band of more texts in several components is compared by blocks of about so many, or so many shingles, and a task takes so many pairs of them.
+SMALL_BAND, BLOCK, BLOCK_SHINGLES, BLOCK_PAIRS = 64, 512, 1 << 19, 64
+#: Parts into which shingles fall by their hash, to bound an overlap from above; signatures of texts met before that a worker remembers.
+PARTS = 1024
+REMEMBERED = 4096
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -94,9 +95,9 @@ def bands(winners: np.ndarray, b: int = BANDS, r: int = ROWS) -> np.ndarray:
 
 
 def overlap_set(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """A bag as a sorted set of 32-bit numbers: one for the k-th of each shingle's occurrences."""
+    """A bag as a sorted set of 64-bit numbers: one for the k-th of each shingle's occurrences."""
     number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    return np.sort((c.mix(np.repeat(hashes, counts) + number.astype(np.uint64) * _STEP) >> np.uint64(32)).astype("<u4"))
+    return np.sort(c.mix(np.repeat(hashes, counts) + number.astype(np.uint64) * _STEP).astype("<u8"))
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -106,31 +107,51 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return shared / max(1, len(both) - shared)
 
 
-def plausible(least: float) -> float:
-    return least - MARGIN * float(np.sqrt(least * (1 - least) / (BANDS * ROWS)))
+def parts(bag: np.ndarray) -> np.ndarray:
+    """How many of an overlap set's numbers lie in each part."""
+    return np.bincount((bag >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int64), minlength=PARTS)
+
+
+def ceiling(own: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The highest similarity that bags with these parts can have: they share no more in a part than the smaller one has."""
+    shared = np.minimum(own, others).sum(-1)
+    return shared / np.maximum(1, own.sum() + others.sum(-1) - shared)
 
 
 def agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Estimated similarity from signatures of one byte a component, of which unlike ones agree once in 256 times."""
-    return ((a == b).mean(-1) - 1 / 256) / (1 - 1 / 256)
+    """Share of equal components of signatures of one byte a component."""
+    return (a == b).mean(-1)
 
 
 def _sketched(texts: DataFrame) -> DataFrame:
-    """__id, __key, __text -> __id, __key, bands, sig (a byte of each component; of texts with shingles)."""
+    """__id, __key, __text -> __id, __key, bands, sig (a byte of each component; of texts with shingles) and shingles (how many).
+
+    Copies of a text are sketched once in a piece, and not again while the worker remembers them."""
 
     def run(batches):
+        known: dict[bytes, tuple] = {}
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("__text"))
             rest = batch.select(["__id", "__key"])
+            digests = rest.column(1).to_pylist()
             for i, j in c.pieces(column):
-                winners, has = signatures(*bags(column.slice(i, j - i)), j - i)
-                keys = bands(winners)[has].astype(np.int64).ravel()
-                bounds = np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32)
+                if len(known) > REMEMBERED:
+                    known.clear()
+                new = {digests[k]: k for k in range(j - 1, i - 1, -1) if digests[k] not in known}
+                at = sorted(new.values())
+                docs, hashes, counts = bags(column.take(pa.array(at, pa.int64())))
+                winners, has = signatures(docs, hashes, counts, len(at))
+                keys, size = bands(winners).astype(np.int64), np.bincount(docs, weights=counts, minlength=len(at)).astype(np.int64)
                 low = (winners[:, : BANDS * ROWS] >> np.uint64(56)).astype(np.uint8)
-                sig = pa.array([low[k].tobytes() if has[k] else None for k in range(j - i)], pa.binary())
-                yield pa.RecordBatch.from_arrays([*rest.slice(i, j - i).columns, pa.ListArray.from_arrays(pa.array(bounds), pa.array(keys)), sig], names=["__id", "__key", "bands", "sig"])
-
-    fields = [texts.schema["__id"], texts.schema["__key"], T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sig", T.BinaryType())]
+                for k, row in enumerate(at):
+                    known[digests[row]] = (keys[k], low[k].tobytes(), int(size[k])) if has[k] else (keys[k, :0], None, 0)
+                own = [known[d] for d in digests[i:j]]
+                bounds = np.concatenate([[0], np.cumsum([len(x) for x, _, _ in own])]).astype(np.int32)
+                flat = np.concatenate([x for x, _, _ in own])
+                made = [pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)), pa.array([x for _, x, _ in own], pa.binary()), pa.array([x for _, _, x in own], pa.int64())]
+                yield pa.RecordBatch.from_arrays([*rest.slice(i, j - i).columns, *made], names=["__id", "__key", "bands", "sig", "shingles"])
+
+    fields = [texts.schema["__id"], texts.schema["__key"], T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sig", T.BinaryType()), T.StructField("shingles", T.LongType())]
     return texts.mapInArrow(run, T.StructType(fields))
 
 
@@ -157,63 +178,61 @@ def _verified(pairs: DataFrame, bag: DataFrame, least: float) -> DataFrame:
     def run(batches):
         for batch in batches:
             a, b = (batch.column(batch.schema.get_field_index(x)) for x in ("bag_a", "bag_b"))
-            good = [similarity(np.frombuffer(x.as_buffer(), "<u4"), np.frombuffer(y.as_buffer(), "<u4")) >= least for x, y in zip(a, b)]
+            good = [similarity(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")) >= least for x, y in zip(a, b)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return sides.select("a", "b", "bag_a", "bag_b").mapInArrow(run, "a binary, b binary")
 
 
 def _placed(member: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """band, __key and the root of the text's component so far."""
-    if roots is None:
-        return member.select("band", "__key", F.col("__key").alias("root"))
-    return member.join(roots.withColumnRenamed("node", "__key"), "__key", "left").select("band", "__key", F.coalesce("root", "__key").alias("root"))
+    """band, __key, shingles and the root of the text's component so far."""
+    return member.join(roots.withColumnRenamed("node", "__key"), "__key", "left").select("band", "__key", "shingles", F.coalesce("root", "__key").alias("root"))
 
 
 def _mixed(placed: DataFrame, salt: int) -> DataFrame:
-    """Bands whose texts are in several components: band, main (the root of most of them), head (one of those), total and rest."""
-    sums = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("__key", F.lit(salt)).alias("h"), F.col("__key").alias("k"))).alias("head"))
-    best = F.max(F.struct("n", "root", "head")).alias("m")
-    out = sums.groupBy("band").agg(best, F.count(F.lit(1)).alias("parts"), F.sum("n").alias("total")).where("parts > 1")
-    out = out.select("band", F.col("m.root").alias("main"), F.col("m.head.k").alias("head"), "total", (F.col("total") - F.col("m.n")).alias("rest"))
+    """Bands whose texts are in several components: band, main (the root of most of them), head (one of those), and of all and of those outside
+    of the main component how many they are (total, rest) and how many shingles they have (total_size, rest_size)."""
+    sums = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("shingles").alias("size"), F.min(F.struct(F.xxhash64("__key", F.lit(salt)).alias("h"), F.col("__key").alias("k"))).alias("head"))
+    best = F.max(F.struct("n", "root", "head", "size")).alias("m")
+    out = sums.groupBy("band").agg(best, F.count(F.lit(1)).alias("parts"), F.sum("n").alias("total"), F.sum("size").alias("total_size")).where("parts > 1")
+    out = out.select("band", F.col("m.root").alias("main"), F.col("m.head.k").alias("head"), "total", "total_size", (F.col("total") - F.col("m.n")).alias("rest"), (F.col("total_size") - F.col("m.size")).alias("rest_size"))
     return c.hold(out)
 
 
-def _small_pairs(placed: DataFrame, mixed: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """Of bands of up to SMALL_BAND texts, pairs in different components whose signatures agree well enough."""
-    own = placed.join(mixed.where(f"total <= {SMALL_BAND}").select("band"), "band").join(classes.select("__key", "sig"), "__key")
-    other = own.select("band", F.col("__key").alias("b"), F.col("root").alias("root_b"), F.col("sig").alias("sig_b"))
-    pairs = own.withColumnRenamed("__key", "a").join(other, "band").where("root < root_b").select("a", "b", "sig", "sig_b")
-    enough = plausible(least)
-
-    def run(batches):
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(x).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for x in (2, 3))
-            yield batch.select(["a", "b"]).filter(pa.array(agreement(a, b) >= enough if batch.num_rows else [], pa.bool_()))
-
-    return pairs.mapInArrow(run, "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _small_pairs(placed: DataFrame, mixed: DataFrame, least: float) -> DataFrame:
+    """Of bands of up to SMALL_BAND texts, pairs in different components whose sizes allow the similarity."""
+    own = placed.join(mixed.where(f"total <= {SMALL_BAND}").select("band"), "band")
+    other = own.select("band", F.col("__key").alias("b"), F.col("root").alias("root_b"), F.col("shingles").alias("shingles_b"))
+    pairs = own.withColumnRenamed("__key", "a").join(other, "band").where("root < root_b").where(F.least("shingles", "shingles_b") >= F.floor(F.greatest("shingles", "shingles_b") * least))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _block_links(placed: DataFrame, mixed: DataFrame, classes: DataFrame, bag: DataFrame, least: float) -> DataFrame:
     """Of larger bands, links between texts outside of the main component and all texts, by pairs of blocks: a block of the ones meets each
-    block of the others, signatures are compared as a table, and texts that agree well enough are compared in full until they are joined."""
-    own = placed.join(mixed.where(f"total > {SMALL_BAND}"), "band").join(classes.select("__key", "sig"), "__key").join(bag, "__key")
-    own = own.select("band", "rest", "total", "main", "__key", "root", "sig", "bag")
-    dealt = lambda n: F.pmod(F.xxhash64("__key", F.lit(5)), F.ceil(F.col(n) / BLOCK))
+    block of the others. Texts whose parts allow the similarity are compared in full until they are joined, those of the likest signatures first.
+
+    Blocks hold a bounded number of texts and, but for a longer text alone, of shingles. Pairs of blocks of a band are dealt to as many tasks
+    as they need."""
+    own = placed.join(mixed.where(f"total > {SMALL_BAND}").drop("head"), "band").join(classes.select("__key", "sig"), "__key").join(bag, "__key")
+    blocks = lambda n, size: F.greatest(F.ceil(F.col(n) / BLOCK), F.ceil(F.col(size) / BLOCK_SHINGLES), F.lit(1))
+    own = own.select("band", "main", "__key", "root", "sig", "bag", blocks("rest", "rest_size").alias("rests"), blocks("total", "total_size").alias("alls"))
+    own = own.withColumn("tasks", F.least("alls", F.ceil(F.col("rests") * F.col("alls") / BLOCK_PAIRS)).cast("long"))
+    dealt = lambda n: F.pmod(F.xxhash64("__key", F.lit(5)), F.col(n))
 
     def pack(table: pa.Table) -> pa.Table:
         get = lambda x: table.column(x).to_pylist()
         bags_ = get("bag")
         sizes = np.array([len(x) for x in bags_], np.int64)
-        return pa.table({"band": [get("band")[0]], "keys": [b"".join(get("__key"))], "roots": [b"".join(get("root"))], "sigs": [b"".join(get("sig"))], "sizes": [sizes.tobytes()], "bags": [b"".join(bags_)]})
+        return pa.table({"band": [get("band")[0]], "block": [get("block")[0]], "tasks": [get("tasks")[0]], "keys": [b"".join(get("__key"))], "roots": [b"".join(get("root"))], "sigs": [b"".join(get("sig"))], "sizes": [sizes.tobytes()], "bags": [b"".join(bags_)]})
 
-    schema = "band long, keys binary, roots binary, sigs binary, sizes binary, bags binary"
-    columns = ["keys", "roots", "sigs", "sizes", "bags"]
-    rest = own.where("root <> main").withColumn("block", dealt("rest")).select("band", "block", "__key", "root", "sig", "bag").groupBy("band", "block").applyInArrow(pack, schema)
-    every = own.withColumn("block", dealt("total")).select("band", "block", "__key", "root", "sig", "bag").groupBy("band", "block").applyInArrow(pack, schema)
+    schema = "band long, block long, tasks long, keys binary, roots binary, sigs binary, sizes binary, bags binary"
+    columns, needed = ["keys", "roots", "sigs", "sizes", "bags"], ["band", "block", "tasks", "__key", "root", "sig", "bag"]
+    rest = own.where("root <> main").withColumn("block", dealt("rests")).select(*needed).groupBy("band", "block").applyInArrow(pack, schema)
+    every = own.withColumn("block", dealt("alls")).select(*needed).groupBy("band", "block").applyInArrow(pack, schema)
     rest, every = c.stash(rest, "minhash-rest"), c.stash(every, "minhash-every")
-    pairs = rest.join(every.select("band", *[F.col(x).alias(f"{x}_b") for x in columns]), "band")
-    enough = plausible(least)
+    left = rest.select("band", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("task"), *columns)
+    right = every.select("band", F.pmod("block", "tasks").alias("task"), *[F.col(x).alias(f"{x}_b") for x in columns])
+    pairs = left.join(right, ["band", "task"])
 
     def run(batches):
         for batch in batches:
@@ -223,10 +242,11 @@ def _block_links(placed: DataFrame, mixed: DataFrame, classes: DataFrame, bag: D
                     raw = {x: batch.column(batch.schema.get_field_index(x + end))[r].as_py() for x in columns}
                     keys = [raw["keys"][k : k + 16] for k in range(0, len(raw["keys"]), 16)]
                     roots = [raw["roots"][k : k + 16] for k in range(0, len(raw["roots"]), 16)]
-                    cut = np.concatenate([[0], np.cumsum(np.frombuffer(raw["sizes"], np.int64) // 4)])
-                    whole = np.frombuffer(raw["bags"], "<u4")
-                    side.append((keys, roots, np.frombuffer(raw["sigs"], np.uint8).reshape(len(keys), -1), [whole[x:y] for x, y in zip(cut, cut[1:])]))
-                (keys, roots, sigs, own_bags), (keys_b, roots_b, sigs_b, bags_b) = side
+                    cut = np.concatenate([[0], np.cumsum(np.frombuffer(raw["sizes"], np.int64) // 8)])
+                    whole = np.frombuffer(raw["bags"], "<u8")
+                    own_bags = [whole[x:y] for x, y in zip(cut, cut[1:])]
+                    side.append((keys, roots, np.frombuffer(raw["sigs"], np.uint8).reshape(len(keys), -1), own_bags, np.stack([parts(x) for x in own_bags]).astype(np.int32)))
+                (keys, roots, sigs, own_bags, own_parts), (keys_b, roots_b, sigs_b, bags_b, parts_b) = side
                 up: dict[bytes, bytes] = {}
 
                 def find(x):
@@ -236,9 +256,9 @@ def _block_links(placed: DataFrame, mixed: DataFrame, classes: DataFrame, bag: D
 
                 out = []
                 for k in range(len(keys)):
-                    like = agreement(sigs[k], sigs_b)
-                    at = np.flatnonzero(like >= enough)
-                    for x in at[np.argsort(-like[at], kind="stable")]:
+                    at = np.flatnonzero(ceiling(own_parts[k], parts_b) >= least)
+                    like = agreement(sigs[k], sigs_b[at])
+                    for x in at[np.argsort(-like, kind="stable")]:
                         p, q = find(roots[k]), find(roots_b[x])
                         if p != q and similarity(own_bags[k], bags_b[x]) >= least:
                             up[max(p, q)] = min(p, q)
@@ -258,21 +278,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     case; all the words of a shorter text are one shingle) overlap enough. Each band's texts are first compared with a head of the band; in
     further rounds those outside of a band's largest component meet another head of it; then, so that no link is missed, all that are still
     in different components of a band are compared: pair by pair in small bands, by blocks in large ones. No band's texts are paired all with
-    all, and none is put together in one task.
+    all, and none is put together in one task. Pairs are passed over only where sizes, or counts of shingles by parts of the hash, show that
+    they cannot be similar enough; overlaps are counted with 64-bit hashes.
     Null text: a class and component of its own. Texts without words are linked with the same text only. Rows with a null id take part;
     ids of a class or component with other rows come from those. Repeated rows get equal rows. Empty table: no rows."""
     c.small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("__id"), F.unhex(F.md5(F.col(text_col))).alias("__key"), F.col(text_col).alias("__text"))
     sketched = c.stash(_sketched(rows), "minhash-sketch")
-    classes = sketched.where("__key IS NOT NULL").groupBy("__key").agg(F.min("__id").alias("class_id"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"))
+    classes = sketched.where("__key IS NOT NULL").groupBy("__key").agg(F.min("__id").alias("class_id"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig"), F.any_value("shingles").alias("shingles"), F.count(F.lit(1)).alias("n"))
     classes = c.stash(classes, "minhash-classes")
-    member = classes.select("__key", F.posexplode("bands").alias("at", "band"))
+    copies = c.hold(classes.select("__key", "n").where(f"n > {c.HOT_ROWS}"))
+    rows_in_all = classes.agg(F.sum("n")).first()[0] or 0
+    member = classes.select("__key", "shingles", F.posexplode("bands").alias("at", "band"))
     order = F.xxhash64("__key", F.pmod(F.col("at"), F.lit(ORDERS)))
     heads = member.groupBy("band").agg(F.min(F.struct(order.alias("h"), F.col("__key").alias("k"))).alias("head"), F.count(F.lit(1)).alias("n"))
     heads = c.hold(heads.where("n > 1").select("band", F.col("head.k").alias("head")))
-    member = kept_members = c.stash(member.select("band", "__key").join(heads, "band"), "minhash-members")
+    member = kept_members = c.stash(member.select("band", "__key", "shingles").join(heads, "band"), "minhash-members")
     pairs = member.where("__key <> head").select(F.least("__key", "head").alias("a"), F.greatest("__key", "head").alias("b")).distinct()
-    member = member.select("band", "__key")
+    member = member.select("band", "__key", "shingles")
     wanted = member.select("__key").distinct()
     wanted = classes.select("__key", F.col("class_id").alias("__id")).join(wanted, "__key").select(F.col("__key").alias("__k"), F.col("__id").alias("__i"))
     texts = rows.join(wanted.hint("merge"), rows["__key"].eqNullSafe(F.col("__k")) & rows["__id"].eqNullSafe(F.col("__i")), "left_semi")
@@ -301,7 +324,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         roots = rooted(links, roots)
     placed = c.hold(_placed(member, roots))
     mixed = _mixed(placed, 0)
-    links.append(verified(_small_pairs(placed, mixed, classes, least)))
+    links.append(verified(_small_pairs(placed, mixed, least)))
     if not mixed.where(f"total > {SMALL_BAND}").isEmpty():
         links.append(_block_links(placed, mixed, classes, bag, least))
     roots = rooted(links, roots)
@@ -311,7 +334,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = c.stash(grouped.join(tops, "root").select("__key", "class_id", "component_id"), "minhash-found")
     c.release(tops, roots, placed, mixed)
     c.discard(classes, kept_members, bag, *links)
-    out = sketched.select(F.col("__id").alias("doc_id"), "__key").join(found, "__key", "left")
+    out = c.spread_join(sketched.select(F.col("__id").alias("doc_id"), "__key"), found, ["__key"], copies, rows_in_all, "left")
     out = out.withColumns({x: F.when(F.col("__key").isNull(), F.col("doc_id")).otherwise(F.col(x)) for x in ("class_id", "component_id")})
     return out.select("doc_id", "class_id", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "__key")
 
@@ -329,6 +352,7 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes and components of all documents."""
     docs = c.table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs).select("doc_id", "class_id", "component_id", "kept")
 

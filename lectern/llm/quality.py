@@ -122,13 +122,16 @@ def grade(quality: str = "quality", toxic: str = "toxic") -> F.Column:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> CumulativeLink:
     """Fit on at most `sample` rated documents, the first in the order of a hash of the id; their whole texts are used.
 
-    Ratings with a null id or grade are left out; of several ratings of one document the lowest counts. The sample, by its bound, is
-    broadcast to find the texts, and only distinct buckets of each sampled text come to the driver."""
+    Ratings with a null id or grade are left out; of several ratings of one document the lowest counts, and of several texts with one id the
+    one of the least digest. The sample, by its bound, is broadcast to find the texts, and only distinct buckets of each sampled text come to
+    the driver, in the order of their ids."""
     c.small_batches(docs.sparkSession)
     rated = labels.select(F.col(id_col).alias("__id"), grade().alias("__grade")).where("__id IS NOT NULL AND __grade IS NOT NULL")
     rated = rated.groupBy("__id").agg(F.min("__grade").alias("__grade"))
     rated = rated.orderBy(F.xxhash64("__id"), "__id").limit(sample)
     found = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(rated), "__id")
+    one = F.min(F.struct(F.md5(F.coalesce("__text", F.lit(""))).alias("digest"), F.col("__text").alias("text"), F.col("__grade").alias("grade")))
+    found = found.groupBy("__id").agg(one.alias("one")).select("__id", F.col("one.text").alias("__text"), F.col("one.grade").alias("__grade"))
 
     def run(batches):
         for b in batches:
@@ -140,12 +143,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 rows = [flat[bounds[k] : bounds[k + 1]].tobytes() for k in range(j - i)]
                 yield pa.RecordBatch.from_arrays([grades.slice(i, j - i), pa.array(rows, pa.binary())], names=["grade", "buckets"])
 
-    rows = found.mapInArrow(run, "grade int, buckets binary").toLocalIterator()
     grades, buckets = [], []
-    for r in rows:
-        if len(grades) < 2 * sample:  # ids that repeat in docs; the bound on the driver's memory holds all the same
-            grades.append(r["grade"])
-            buckets.append(np.frombuffer(r["buckets"], "<i4"))
+    for r in found.repartitionByRange("__id").sortWithinPartitions("__id").mapInArrow(run, "grade int, buckets binary").toLocalIterator():
+        grades.append(r["grade"])
+        buckets.append(np.frombuffer(r["buckets"], "<i4"))
     doc = np.repeat(np.arange(len(grades)), [len(b) for b in buckets]) if grades else np.zeros(0, np.int64)
     return fit(doc, np.concatenate(buckets).astype(np.int64) if grades else np.zeros(0, np.int64), np.array(grades, np.int64))
 
@@ -174,6 +175,7 @@ def classify(docs: DataFrame, model: CumulativeLink, text_col: str = "text", kee
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades of every document, by a model fitted on a bounded sample of the rated ones."""
     docs = c.table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, c.table(spark, sf_dir, "labels"))
     return classify(docs, model).drop("text")

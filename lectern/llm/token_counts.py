@@ -67,7 +67,8 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     reach into another section) and doc_tokens (of the whole text; the sum over its sections).
 
     A token's characters are all those of which it has a byte, so a character that several tokens share counts for each. Null and empty texts
-    have one section without characters or tokens. Repeated rows give repeated rows, also with a null id; an empty table gives no rows."""
+    have one section without characters or tokens. Repeated rows give repeated rows, also with a null id; an empty table gives no rows.
+    Other columns of docs, whatever their names, are not read and not carried over."""
     if rule not in RULES:
         raise ValueError(f"rule: one of {RULES}")
     c.small_batches(docs.sparkSession)
@@ -106,4 +107,5 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by line."""
     return count_tokens(c.table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -153,6 +153,7 @@ def threshold(histogram: list[tuple[int, int, int]]) -> float | None:
 
 
 def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL."""
     pages = c.table(spark, sf_dir, "pages").select("page_id", "url")
     return judge(pages).select("page_id", "host", "path", "rule", "verdict")
 

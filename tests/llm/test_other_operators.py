@@ -234,6 +234,22 @@ def test_html_finds_attributes_among_others(attributes):
     assert html.main_text(f"<article><p>one</p><p {attributes}>two</p><p>three</p></article>") == "one\n\nthree"
 
 
+@pytest.mark.parametrize("name", ["discussion", "search", "notice", "social", "copyright", "alert", "related-work"])
+def test_html_keeps_sections_whose_anchors_are_words_of_boilerplate(name):
+    assert html.main_text(f"<article><h2 id={name}>One</h2><p>x</p><section id={name}><p>y</p></section><div class=related-work>z</div></article>") == "One\n\nx\n\ny\n\nz"
+
+
+@pytest.mark.parametrize("attributes", ["class=comments", "class='c comment-list'", "id=comments", "class=social-share", "class=related_posts", "class=adBox2", "id=sidebar-left", "role=complementary", "class='post share-buttons'"])
+def test_html_drops_named_parts_of_the_main_content(attributes):
+    assert html.main_text(f"<article><p>x</p><div {attributes}><p>y</p></div></article>") == "x"
+
+
+def test_html_runs_on_over_formulas_buttons_and_drawings():
+    assert html.main_text("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><mspace/><annotation>x=2</annotation></math> be</p></article>") == "Let x=2 be"
+    assert html.main_text("<article><p>press <button>Copy</button> or <svg><title>t</title><path d='x'/><text>A1</text></svg> here</p></article>") == "press or A1 here"
+    assert html.main_text("<article><p>a</p><dialog>no</dialog><dialog open>yes</dialog></article>") == "a\n\nyes"
+
+
 def test_style_tree_drops_repeated_branches_and_keeps_content(spark):
     rows = []
     for k in range(12):
@@ -251,8 +267,11 @@ def test_style_tree_drops_repeated_branches_and_keeps_content(spark):
     assert html.extract(frame.limit(0)).count() == 0
 
 
-def test_style_tree_judges_pages_with_main_content(spark):
+@pytest.mark.parametrize("limit", [0, html.BROADCAST_BYTES])
+def test_style_tree_judges_pages_with_main_content(spark, limit, monkeypatch):
     """Within articles repeated branches go, headings and repeated articles stay; beside a teaser, what the tree finds important stays."""
+    monkeypatch.setattr(html, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
     words = lambda k, n: " ".join(f"w{k}x{j}" for j in range(n))
     rows = [(k, f"http://a.com/{k}", f"<article><h2>Method</h2><p>{words(k, 20)}</p><div class=x1><h3>More</h3><p>Sign up today</p></div></article><div class=x2><p>Short {k}</p></div>") for k in range(8)]
     rows += [(20 + k, f"http://b.com/{k}", f"<div class=x3><p>All of it {words('b', 40)}</p></div><article class=x4><p>Teaser {k}</p></article><div class=c><p>{words(k, 20)}</p></div>") for k in range(8)]
@@ -266,6 +285,13 @@ def test_style_tree_judges_pages_with_main_content(spark):
     assert got[50] == f"Teaser\n\n{words(1, 5)}"
 
 
+def test_names_made_at_random_make_no_large_tree(spark):
+    """Each page has a class of its own in a block that all share: the rare nodes keep their holders, and others still go."""
+    rows = [(k, "http://a.com/", f"<body><div class=x1><p>Home</p></div><div class=h><div class=r{k}z{k * 7}q><p>Imprint</p></div></div><div class=c><p>Own text {k}</p></div></body>") for k in range(12)]
+    frame = spark.createDataFrame([(i, u, h) for i, u, h in rows], "page_id long, url string, html string")
+    assert {r.text for r in html.extract(frame).collect()} == {f"Imprint\n\nOwn text {k}" for k in range(12)}
+
+
 def test_importance_is_guarded_by_content():
     nodes = [(1, 0, False, 10, 0.0, 0.0, 0), (2, 1, False, 10, 0.0, 1.0, 3), (3, 1, True, 10, 0.0, 1.0, 3), (4, 1, False, 2, 0.0, 1.0, 1), (5, 1, False, 10, 0.9, 0.1, 9)]
     nodes += [(6, 1, False, 10, 0.0, 0.0, 0), (7, 6, False, 10, 0.0, 1.0, 1), (8, 6, False, 10, 0.0, 0.95, 2), (9, 1, False, 10, 0.0, 0.0, 0), (10, 9, False, 10, 0.0, 1.0, 1), (11, 9, False, 10, 0.5, 0.3, 1)]

@@ -266,6 +266,11 @@ def test_minhash_equals_brute_force(spark, small, monkeypatch):
     monkeypatch.setattr(minhash, "SMALL_BAND", small)
     monkeypatch.setattr(minhash, "BLOCK", 3)
     docs = near_docs()
+    if small == 1:  # blocks by shingles, with longer texts alone; pairs of blocks and copies of a text by several tasks
+        for module, name, value in ((minhash, "BLOCK_SHINGLES", 200), (minhash, "BLOCK_PAIRS", 2), (common, "HOT_ROWS", 1), (common, "HOT_KEYS", 1 << 30), (minhash, "REMEMBERED", 3)):
+            monkeypatch.setattr(module, name, value)
+        long = " ".join(f"w{k % 7919}" for k in range(40_000))
+        docs += [(300, long), (301, long + " and an end"), (302, long[: len(long) // 2])]
     want = brute_components(docs)
     got = minhash.near_duplicates(frame(spark, docs)).collect()
     assert len(got) == len(docs)
@@ -277,6 +282,17 @@ def test_minhash_equals_brute_force(spark, small, monkeypatch):
     assert sorted(kept) == sorted(r.doc_id for r in got if r.kept)
 
 
+def test_parts_bound_the_similarity():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        a, b = (np.sort(rng.integers(0, 1 << 63, 300, np.uint64) * np.uint64(2)) for _ in range(2))
+        n = int(rng.integers(0, 300))
+        b[:n] = a[:n]
+        b = np.sort(b)
+        assert minhash.ceiling(minhash.parts(a), minhash.parts(b)[None])[0] >= minhash.similarity(a, b)
+    assert minhash.ceiling(minhash.parts(a), minhash.parts(a)[None])[0] == 1
+
+
 def test_bagminhash_estimates_weighted_jaccard():
     rng = random.Random(4)
     values = [f"v{k}" for k in range(40)]
