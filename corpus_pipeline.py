@@ -58,5 +58,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each result is written to the shared folder and read again."""
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = common.stash(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, common.stash(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if hasattr(before, "_stashed_at"):
+            common.discard(before)
     return docs
