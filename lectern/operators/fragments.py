@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as t
-from ..sources.shared import stash
+from ..sources.shared import discard, stash
 from .ocr import reasons
 from .structure import OUTSIDE, REGION, procedures
 
@@ -26,8 +26,9 @@ def judged_fragments(fragments: DataFrame, procedure_rows: DataFrame, context: D
     """Accepted or rejected, with the evidence. A phase heading is enough; numbers alone need the same chapter as the page before, and there a
     procedure or an accepted fragment that ends one step earlier.
 
-    Acceptance depends on acceptance only along a chain of pages and steps that both grow by the fragment's length, so it spreads forward from
-    what is accepted on its own: rounds of an equi-join on (page, step), as many as the longest chain, each over the newly accepted."""
+    Acceptance depends on acceptance only along a chain of pages and steps that both grow by the fragment's length. What can be reached from
+    that which is accepted on its own is found by hops of 1, 2, 4, ... fragments: rounds of equi-joins on (page, step), as many as the
+    logarithm of the longest chain."""
     here = context.select("source", "page", "chapter_id")
     before = context.select("source", (F.col("page") + 1).alias("page"), F.col("chapter_id").alias("chapter_before"))
     f = fragments.join(here, ["source", "page"], "left").join(before, ["source", "page"], "left")
@@ -36,18 +37,21 @@ def judged_fragments(fragments: DataFrame, procedure_rows: DataFrame, context: D
     f = f.join(ends, ["source", "page", "first_step"], "left").withColumn("after_procedure", F.coalesce("after_procedure", F.lit(False)))
     by_phase = F.col("n_phases") > 0
     f = stash(f.withColumn("own", by_phase | (F.col("same_chapter") & F.col("after_procedure"))), "fragments")
-    new = f.where("own").select(*REGION, "last_step")
-    chained = None
-    waiting = f.where("NOT own AND same_chapter").select(*REGION, "first_step", "last_step")
-    while True:
-        reached = new.select("source", (F.col("page") + 1).alias("page"), (F.col("last_step") + 1).alias("first_step")).distinct()
-        new = stash(waiting.join(reached, ["source", "page", "first_step"], "left_semi").select(*REGION, "last_step"), "fragments-chained")
-        if new.isEmpty():
-            break
-        chained = new if chained is None else chained.union(new)
-        waiting = stash(waiting.join(new.select(*REGION), REGION, "left_anti"), "fragments-waiting")
-    mark = (chained if chained is not None else new).select(*REGION).withColumn("chained", F.lit(True))
-    f = f.join(mark, REGION, "left").withColumn("chained", F.coalesce("chained", F.lit(False)))
+    state = ["source", "page", "step"]
+    after = lambda rows: rows.select("source", (F.col("page") + 1).alias("page"), (F.col("last_step") + 1).alias("step")).distinct()
+    waiting = f.where("NOT own AND same_chapter")
+    hops = stash(waiting.select("source", "page", F.col("first_step").alias("step"), (F.col("page") + 1).alias("to_page"), (F.col("last_step") + 1).alias("to_step")).distinct(), "fragments-hops")
+    reached = stash(after(f.where("own")), "fragments-reached")
+    while not hops.isEmpty():
+        further = reached.join(hops, state).select("source", F.col("to_page").alias("page"), F.col("to_step").alias("step"))
+        more = stash(reached.union(further).distinct(), "fragments-reached")
+        ends = hops.select("source", F.col("page").alias("to_page"), F.col("step").alias("to_step"), F.col("to_page").alias("end_page"), F.col("to_step").alias("end_step"))
+        twice = stash(hops.join(ends, ["source", "to_page", "to_step"]).select(*state, F.col("end_page").alias("to_page"), F.col("end_step").alias("to_step")).distinct(), "fragments-hops")
+        discard(reached, hops)
+        reached, hops = more, twice
+    chained = waiting.join(reached.withColumnRenamed("step", "first_step"), ["source", "page", "first_step"], "left_semi")
+    f = f.join(chained.select(*REGION).withColumn("chained", F.lit(True)), REGION, "left").withColumn("chained", F.coalesce("chained", F.lit(False)))
+    discard(hops)
     accepted = F.col("own") | F.col("chained")
     evidence = reasons(
         (by_phase, "manufacturer_phase_heading"),

@@ -24,18 +24,33 @@ def regions(words: DataFrame) -> DataFrame:
 
 def gutter_candidates(words: DataFrame) -> DataFrame:
     """words with region -> per page and candidate x: crossing, left and right words, gap, balance and score, where 10 words at least stand
-    on either side and 20 in the body. Candidates are bounded by the page's width, words only meet those of their own page."""
+    on either side and 20 in the body.
+
+    A word is written down only at the candidates where it becomes left, stops being right, and begins and ends to cross; counts and edges at
+    the others are running sums over a page's candidates, so that words are not multiplied by them."""
     body = words.where("region = 'body' AND page_width > 0")
     first, last = (F.col("page_width") * GUTTER_FROM).cast("int"), (F.col("page_width") * GUTTER_TO).cast("int")
-    spread = body.withColumn("x", F.explode(F.sequence(first, last, F.lit(GUTTER_STEP)))).withColumn("right_edge", F.col("left") + F.col("width"))
-    is_left, is_right = F.col("right_edge") <= F.col("x"), F.col("left") >= F.col("x")
-    out = spread.groupBy(*PAGE, "x").agg(
-        F.count(F.lit(1)).alias("body_words"),
-        F.count(F.when((F.col("left") < F.col("x")) & (F.col("x") < F.col("right_edge")), 1)).alias("crossing_words"),
-        F.count(F.when(is_left, 1)).alias("left_words"),
-        F.count(F.when(is_right, 1)).alias("right_words"),
-        (F.min(F.when(is_right, F.col("left"))) - F.max(F.when(is_left, F.col("right_edge")))).alias("gap_px"),
-    )
+    body = body.select(*PAGE, "left", (F.col("left") + F.col("width")).alias("right_edge"), first.alias("first"), last.alias("last"))
+    at_or_after = F.greatest(F.col("first"), F.col("first") + F.ceil((F.col("right_edge") - F.col("first")) / GUTTER_STEP).cast("int") * GUTTER_STEP)
+    at_or_before = F.col("first") + F.floor((F.least("left", "last") - F.col("first")) / GUTTER_STEP).cast("int") * GUTTER_STEP
+    after_left = F.greatest(F.col("first"), F.col("first") + (F.floor((F.col("left") - F.col("first")) / GUTTER_STEP).cast("int") + 1) * GUTTER_STEP)
+    none = F.lit(None).cast("int")
+    event = lambda x, n=0, lefts=0, edge=none, rights=0, start=none, cross=0: F.struct(x.alias("x"), *[(F.lit(v) if isinstance(v, int) else v).cast("int").alias(k) for k, v in (("n", n), ("lefts", lefts), ("edge", edge), ("rights", rights), ("start", start), ("cross", cross))])
+    crosses = after_left < F.col("right_edge")
+    events = F.array(
+        event(F.col("first"), n=1), event(at_or_after, lefts=1, edge=F.col("right_edge")), event(at_or_before, rights=1, start=F.col("left")),
+        F.when(crosses, event(after_left, cross=1)), F.when(crosses, event(at_or_after, cross=-1)),
+    )
+    met = body.select(*PAGE, "first", "last", F.explode(F.filter(events, lambda e: e.isNotNull() & e["x"].between(F.col("first"), F.col("last")))).alias("e")).select(*PAGE, "e.*")
+    grid = body.groupBy(*PAGE).agg(F.min("first").alias("first"), F.max("last").alias("last")).select(*PAGE, F.explode(F.sequence("first", "last", F.lit(GUTTER_STEP))).alias("x"))
+    met = met.unionByName(grid, allowMissingColumns=True).groupBy(*PAGE, "x").agg(*[f(x).alias(x) for f, x in ((F.sum, "n"), (F.sum, "lefts"), (F.max, "edge"), (F.sum, "rights"), (F.min, "start"), (F.sum, "cross"))])
+    page = W.partitionBy(*PAGE)
+    up_to, from_on = page.orderBy("x").rowsBetween(W.unboundedPreceding, 0), page.orderBy("x").rowsBetween(0, W.unboundedFollowing)
+    total = lambda x, over: F.coalesce(F.sum(x).over(over), F.lit(0))
+    out = met.select(
+        *PAGE, "x", total("n", page).alias("body_words"), total("cross", up_to).alias("crossing_words"), total("lefts", up_to).alias("left_words"), total("rights", from_on).alias("right_words"),
+        (F.min("start").over(from_on) - F.max("edge").over(up_to)).alias("gap_px"),
+    )
     out = out.where((F.col("body_words") >= LEAST_BODY) & (F.col("left_words") >= LEAST_SIDE) & (F.col("right_words") >= LEAST_SIDE))
     balance = F.least("left_words", "right_words") / F.greatest("left_words", "right_words")
     score = F.col("crossing_words") * CROSSING_COST - F.greatest(F.lit(0), F.col("gap_px")) * GAP_GAIN - F.col("balance") * BALANCE_GAIN

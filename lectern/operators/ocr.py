@@ -43,10 +43,20 @@ def reasons(*pairs: tuple[Column, str]) -> Column:
     return F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, n in pairs]))
 
 
-def page_review_first_pass(words: DataFrame, keys: list[str] = PAGE, warnings: Column | None = None) -> DataFrame:
-    """Why a page needs review by plain confidence. Pages without words have no row here; join the page list for those."""
+def _all_pages(sums: DataFrame, keys: list[str], pages: DataFrame | None) -> DataFrame:
+    """sums with a row of zeros for pages of the list that have no words."""
+    if pages is None:
+        return sums
+    zeros = [x for x, kind in sums.dtypes if kind in ("bigint", "int") and x not in keys and x != "longest"]
+    return pages.select(*keys).distinct().join(sums, keys, "left").fillna(0, zeros)
+
+
+def page_review_first_pass(words: DataFrame, keys: list[str] = PAGE, warnings: Column | None = None, pages: DataFrame | None = None) -> DataFrame:
+    """Why a page needs review by plain confidence. pages: all pages there are, so that those without words are told; else only pages with words
+    have a row."""
     warned = F.lit(0) if warnings is None else F.max(warnings.cast("int"))
     out = words.groupBy(*keys).agg(*confidence_columns(F.col("confidence")), F.count(F.lit(1)).alias("tokens"), F.max(F.length("text")).alias("longest"), warned.alias("warned"))
+    out = _all_pages(out, keys, pages)
     why = reasons(
         (F.col("warned") > 0, "ocr_parse_warning"),
         (F.col("tokens") == 0, "no_ocr_words"),
@@ -57,11 +67,12 @@ def page_review_first_pass(words: DataFrame, keys: list[str] = PAGE, warnings: C
     return out.withColumn("reasons", why)
 
 
-def page_review_refined(words: DataFrame, keys: list[str] = PAGE, warnings: Column | None = None) -> DataFrame:
-    """Why a whole page needs review by its word-like tokens: single doubtful words stay local, dense ones do not."""
+def page_review_refined(words: DataFrame, keys: list[str] = PAGE, warnings: Column | None = None, pages: DataFrame | None = None) -> DataFrame:
+    """Why a whole page needs review by its word-like tokens: single doubtful words stay local, dense ones do not. pages: as for the first pass."""
     kept = F.when(t.is_word_like(t.token(F.col("text"))), F.col("confidence"))
     warned = F.lit(0) if warnings is None else F.max(warnings.cast("int"))
     out = words.groupBy(*keys).agg(*confidence_columns(kept), F.count(F.lit(1)).alias("tokens"), F.max(F.length("text")).alias("longest"), warned.alias("warned"))
+    out = _all_pages(out, keys, pages)
     dense = F.greatest(F.lit(DENSE_COUNT), F.ceil(F.col("n_words") * DENSE_RATIO))
     why = reasons(
         (F.col("warned") > 0, "ocr_parse_warning"),

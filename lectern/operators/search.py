@@ -41,7 +41,8 @@ def matches(tables: list[Searchable], term: str) -> DataFrame:
         for c in match:
             hit = hit | F.coalesce(F.contains(t.ascii_lower(F.col(c).cast("string")), wanted), F.lit(False))
         fields = F.create_map(*[x for c in show for x in (F.lit(c), F.col(c).cast("string"))])
-        order = F.concat_ws("|", *[F.lpad(F.col(c).cast("string"), 20, "0") for c in s.order])
+        padded = lambda x: F.when(F.length(x) < 20, F.lpad(x, 20, "0")).otherwise(x)  # noqa: E731 (longer keys stay whole)
+        order = F.concat_ws("|", *[padded(F.col(c).cast("string")) for c in s.order])
         own = s.frame.where(hit if term.strip() else F.lit(False)).select(F.lit(rank).alias("table_rank"), order.alias("row_key"), F.lit(s.name).alias("source_table"), fields.alias("fields"))
         out = own if out is None else out.unionByName(own)
     return out
@@ -61,3 +62,23 @@ def combined(existing: DataFrame, previews: DataFrame, limit: int = 20) -> DataF
         own = first.withColumn("place", F.row_number().over(W.orderBy("table_rank", "row_key"))).withColumns({"scope_rank": F.lit(rank), "scope": F.lit(scope), "validation": F.lit(validation)})
         rows = own if rows is None else rows.unionByName(own)
     return rows.orderBy("place", "scope_rank").limit(clamp(limit))
+
+
+def search_bases(bases: dict[str, list[Searchable]], term: str, limit: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Several bases in one request: the hits, those of the first base first, and how many each base has, as far as the limit lets it show them.
+    A base that has none does not end the search."""
+    rows = None
+    for rank, (name, tables) in enumerate(bases.items()):
+        own = matches(tables, term).orderBy("table_rank", "row_key").limit(clamp(limit)).select(F.lit(rank).alias("base_rank"), F.lit(name).alias("base"), "*")
+        rows = own if rows is None else rows.unionByName(own)
+    names = rows.sparkSession.createDataFrame([(k, n) for k, n in enumerate(bases)], "base_rank int, base string")
+    report = names.join(rows.groupBy("base").agg(F.count(F.lit(1)).alias("hits")), "base", "left").fillna(0, ["hits"])
+    return rows.orderBy("base_rank", "table_rank", "row_key").limit(clamp(limit)), report
+
+
+def enriched(hits: DataFrame, links: DataFrame, key: str, reference: str) -> DataFrame:
+    """Hits whose fields have a reference, with what became of it (see audit.knowledge_links): its status, the parts that are missing, and whether
+    a correction replaced it. Other hits have nulls."""
+    own = hits.withColumn("__key", F.when(F.trim(F.col("fields")[reference]) != "", F.col("fields")[key]))
+    found = links.select(F.col("key").cast("string").alias("__key"), F.col("link_status").alias("image_reference_status"), "n_ok", "missing_parts", "corrected")
+    return own.join(found, "__key", "left").drop("__key")

@@ -172,8 +172,8 @@ def expand_references(spark: SparkSession, d: str) -> DataFrame:
     return _references(spark, d).select("key", F.size(t.expanded_references(F.col("reference"))).alias("n_parts"), F.array_join(t.expanded_references(F.col("reference")), "|").alias("parts"))
 
 
-def _resolved(spark: SparkSession, d: str) -> DataFrame:
-    parts = _references(spark, d).select("key", F.explode(t.expanded_references(F.col("reference"))).alias("reference"))
+def reference_store(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Assets, diagrams and files of a made-up reference store."""
     keys = spark.range(1, 9).select(F.col("id").alias("a")).join(spark.range(1, 40).select(F.col("id").alias("b"), F.lit(1).alias("one")), F.lit(1) == F.col("one"))
     item = lambda doc: F.concat(F.lit(doc), F.lit(":"), "a", F.lit("."), "b")
     path = lambda doc: F.concat(F.lit("images/"), F.lit(doc), F.lit("_"), "a", F.lit("_"), "b", F.when(F.col("b") % 10 == 9, ".txt").otherwise(".png"))
@@ -182,7 +182,12 @@ def _resolved(spark: SparkSession, d: str) -> DataFrame:
     diagrams = keys.select(item("DOC3").alias("key"), path("DOC3").alias("path"), F.lit(None).cast("string").alias("sha256"))
     every = keys.select(path("DOC1").alias("path"), "b").union(keys.select(path("DOC2"), "b")).union(keys.select(path("DOC3"), "b")).union(keys.where("a = 1").select(F.concat(F.lit("images/p"), "b", F.lit(".png")), "b"))
     files = every.where("b % 7 <> 6").select("path", F.when(F.col("b") % 5 == 4, "00").otherwise(F.sha2("path", 256)).alias("sha256"))
-    return identity.resolved_references(parts, assets, diagrams, files)
+    return assets, diagrams, files
+
+
+def _resolved(spark: SparkSession, d: str) -> DataFrame:
+    parts = _references(spark, d).select("key", F.explode(t.expanded_references(F.col("reference"))).alias("reference"))
+    return identity.resolved_references(parts, *reference_store(spark, d))
 
 
 def resolve_references(spark: SparkSession, d: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 # Fixed values of page selections.
 FIRST_PREVIEWS, ROUND_PREVIEWS, SHARES, FULL_PREVIEW = 12, [100, 200, 300, 400], [0.1, 0.25, 0.5, 0.75, 0.9], 20
 ZERO_COMMIT = "^0*$"
-COMMIT = "^[0-9a-fA-F]{40}$"
+COMMIT = "^[0-9a-fA-F]{40,64}$"
 
 
 def scan(spark: SparkSession, root: str, extension: str = ".pdf") -> DataFrame:
