@@ -58,6 +58,33 @@ def applied(knowledge: DataFrame, corrections: DataFrame, links: DataFrame) -> t
     return fixed, history
 
 
+def applied_whole(knowledge: DataFrame, corrections: DataFrame, links: DataFrame, images: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As applied(), for lots (corrections and links with a column lot; images: image_ref, that resolve), each of them whole or not at all: a lot
+    with other than three corrections, with one that does not hit its row, or with an image that does not resolve changes nothing.
+
+    Returns the rows, the history, and per lot its status. A row that two lots would change takes both out."""
+    keyed = corrections.select("lot", F.concat(F.lit(KNOWLEDGE_PREFIX), "fact_key").alias("knowledge_key"), "fact_key", "legacy_ref")
+    k = keyed.join(knowledge, "knowledge_key", "left")
+    section = F.replace("source_section", F.lit(OLD_SECTION), F.lit(NEW_SECTION))
+    hit = F.coalesce((F.col("image_ref") == F.col("legacy_ref")) & (section != F.col("source_section")), F.lit(False))
+    claims = keyed.groupBy("knowledge_key").agg(F.count_distinct("lot").alias("lots"))
+    k = k.join(claims, "knowledge_key").groupBy("lot").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~hit, 1)).alias("missed"), F.max("lots").alias("lots"))
+    lost = links.join(images.select("image_ref").distinct(), "image_ref", "left_anti").groupBy("lot").agg(F.count(F.lit(1)).alias("lost"))
+    bare = keyed.join(links.select("lot", "fact_key").distinct(), ["lot", "fact_key"], "left_anti").groupBy("lot").agg(F.count(F.lit(1)).alias("bare"))
+    k = k.join(lost, "lot", "left").join(bare, "lot", "left").fillna(0, ["lost", "bare"])
+    status = (
+        F.when(F.col("n") != EXPECTED, "CORRECTION_COUNT_MISMATCH")
+        .when(F.col("missed") > 0, "LEGACY_VALUE_MISMATCH")
+        .when((F.col("lost") > 0) | (F.col("bare") > 0), "IMAGE_NOT_RESOLVED")
+        .when(F.col("lots") > 1, "CONFLICTING_LOTS")
+        .otherwise("APPLIED")
+    )
+    states = k.select("lot", status.alias("status"))
+    good = states.where("status = 'APPLIED'").select("lot")
+    rows, history = applied(knowledge, corrections.join(good, "lot", "left_semi"), links.join(good, "lot", "left_semi"))
+    return rows, history, states
+
+
 def inspected(lots: DataFrame, terms: list[str], most_lines: int = 60, most_chars: int = 750) -> DataFrame:
     """The first lines of each lot that hold one of the terms (case apart), cut to a length: a preview, limited on purpose."""
     lines = lots.select("lot", F.posexplode(F.split("sql", r"\r\n|\r|\n")).alias("seq", "line"))

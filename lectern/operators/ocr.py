@@ -13,6 +13,8 @@ from ..functions import text as t
 # Fixed values of the review rules.
 LOW, MIDDLE, HIGH = 50.0, 70.0, 85.0
 DENSE_COUNT, DENSE_RATIO, LONGEST_TOKEN = 3, 0.05, 120
+# Tokens beyond this length meet by pieces, not by rests, whose number grows with the square of the length.
+LONG_TOKEN = 12
 LEXICON_CONFIDENCE, LEXICON_OCCURRENCES, LEAST_SUSPECT, SHORT_TOKEN, PROPOSALS = 92.0, 2, 4, 7, 5
 PAGE = ["source", "page"]
 READING_ORDER = ["block_num", "par_num", "line_num", "word_num"]
@@ -131,17 +133,27 @@ def spelling_matches(words: DataFrame, lex: DataFrame, suspect: float = HIGH) ->
     allowed (1 up to 7 letters, else 2).
 
     Two words within distance d have a common rest after at most d deletions each: the join is on that rest, so no block of tokens with one
-    first letter is compared all against all."""
+    first letter is compared all against all. Of a long token cut into three pieces one at least stands in any word within distance 2, at most
+    2 places off: there the join is on pieces."""
     doubtful = words.where(F.col("confidence") < suspect).select("source", t.token(F.col("text")).alias("token"))
     doubtful = doubtful.where((F.length("token") >= LEAST_SUSPECT) & t.is_word_like(F.col("token"))).distinct()
     doubtful = doubtful.join(lex.select("source", "token"), ["source", "token"], "left_anti").withColumn("allowed", F.when(F.length("token") <= SHORT_TOKEN, 1).otherwise(2))
-    left = doubtful.withColumn("rest", F.explode(_with_gaps(F.col("token"), F.col("allowed"))))
+    length = F.length("token")
+    left = doubtful.where(length <= LONG_TOKEN).withColumn("rest", F.explode(_with_gaps(F.col("token"), F.col("allowed"))))
     # a lexicon token meets tokens of up to two letters less, which allow two gaps only beyond the short ones
     gaps = F.when(F.length("token") <= SHORT_TOKEN - 2, 1).otherwise(2)
-    right = lex.withColumn("rest", F.explode(_with_gaps(F.col("token"), gaps))).withColumnRenamed("token", "known")
-    near = left.join(right, ["source", "rest"]).drop("rest").distinct()
-    near = near.withColumn("distance", F.levenshtein("token", "known"))
-    return near.where((F.col("distance") <= F.col("allowed")) & (F.substring("token", 1, 1) == F.substring("known", 1, 1)))
+    right = lex.where(length <= LONG_TOKEN + 2).withColumn("rest", F.explode(_with_gaps(F.col("token"), gaps))).withColumnRenamed("token", "known")
+    near = left.join(right, ["source", "rest"]).drop("rest")
+    third = F.col("whole").cast("int") / 3
+    begins, size = 1 + F.col("k") * F.floor(third), F.when(F.col("k") < 2, F.floor(third)).otherwise(F.col("whole") - 2 * F.floor(third))
+    parts = doubtful.where(length > LONG_TOKEN).withColumn("whole", length).withColumn("k", F.explode(F.array(*map(F.lit, range(3)))))
+    parts = parts.withColumn("piece", F.substr("token", begins.cast("int"), size.cast("int")))
+    known = lex.withColumnRenamed("token", "known").where(F.length("known") > LONG_TOKEN - 2).withColumn("whole", F.explode(F.sequence(F.length("known") - 2, F.length("known") + 2))).where(F.col("whole") > LONG_TOKEN)
+    known = known.withColumn("k", F.explode(F.array(*map(F.lit, range(3))))).withColumn("shift", F.explode(F.sequence(F.lit(-2), F.lit(2)))).withColumn("at", F.col("shift") + begins).where((F.col("at") >= 1) & (F.col("at") + size - 1 <= F.length("known")))
+    known = known.withColumn("piece", F.substr("known", F.col("at").cast("int"), size.cast("int"))).drop("at", "shift")
+    far = parts.join(known, ["source", "whole", "k", "piece"]).drop("whole", "k", "piece")
+    near = near.unionByName(far).distinct().withColumn("distance", F.levenshtein("token", "known", 2))  # -1 beyond 2
+    return near.where(F.col("distance").between(0, F.col("allowed")) & (F.substring("token", 1, 1) == F.substring("known", 1, 1)))
 
 
 def spelling_candidates(words: DataFrame, lex: DataFrame, suspect: float = HIGH) -> DataFrame:

@@ -77,7 +77,7 @@ def _lines(source: str, name: str) -> str:
 _PHASE = "regexp_matches(p, '^(remove|refit|refitting|dismantle|reassemble|adjust|adjustment|check|inspection|overhaul)$')"
 _STRUCTURE = f"""{SOURCE_LINES_SQL},
 norm AS (SELECT page, region, line_index, mean_confidence, {_SPACED} AS text FROM source_lines WHERE region NOT IN ('header', 'footer', 'spanning')),
-marked AS (SELECT *, nullif(regexp_extract(text, '(?i)\\bService\\s+Repair\\s+No\\.?\\s*([0-9]+(?:\\.[0-9]+){{1,4}})\\b', 1), '') AS repair, {_is_title('text')} AS titled,
+marked AS MATERIALIZED (SELECT *, nullif(regexp_extract(text, '(?i)\\bService\\s+Repair\\s+No\\.?\\s*([0-9]+(?:\\.[0-9]+){{1,4}})\\b', 1), '') AS repair, {_is_title('text')} AS titled,
   lower(trim(text, ' .:-')) AS p, TRY_CAST(regexp_extract(text, '^\\s*(\\d{{1,3}})\\.\\s*(.*)$', 1) AS INTEGER) AS number FROM norm),
 anchors AS (SELECT a.page, a.region, a.line_index AS anchor, a.repair, max(b.line_index) AS title_at FROM marked a
   LEFT JOIN marked b ON b.page = a.page AND b.region = a.region AND b.line_index BETWEEN a.line_index - 4 AND a.line_index - 1 AND b.titled WHERE a.repair IS NOT NULL GROUP BY 1, 2, 3, 4),
@@ -90,7 +90,7 @@ ph AS (SELECT *, count(phase_source) OVER (PARTITION BY page, region, anchor ORD
   phase_source IS NULL AND number IS NOT NULL AS is_step FROM inside),
 st AS (SELECT *, count(*) FILTER (is_step) OVER (PARTITION BY page, region, anchor, phase_no ORDER BY line_index) AS step_no,
   CASE WHEN source_form = 'refitting' THEN 'refit' ELSE source_form END AS phase FROM ph),
-kinds AS (SELECT *, CASE WHEN phase_source IS NOT NULL THEN 'phase' WHEN is_step THEN 'step'
+kinds AS MATERIALIZED (SELECT *, CASE WHEN phase_source IS NOT NULL THEN 'phase' WHEN is_step THEN 'step'
   WHEN step_no > 0 AND regexp_matches(text, '(?i)^\\s*(?:[•●▪◦*-]|[eo]\\s+)\\s*(.*)$') THEN 'bullet' WHEN step_no > 0 THEN 'continuation' ELSE 'other' END AS kind FROM st),
 breaks AS (SELECT *, number <> lag(number) OVER (PARTITION BY page, region, anchor, phase_no ORDER BY line_index) + 1 AS broken FROM kinds WHERE kind = 'step'),
 by_phase AS (SELECT page, region, anchor, phase_no, count(*) AS n, count(*) FILTER (broken) AS b FROM breaks GROUP BY 1, 2, 3, 4),

@@ -357,13 +357,37 @@ def lot_status(spark: SparkSession, d: str) -> DataFrame:
     return corrections.lot_status(_lots(spark, d))
 
 
+def _knowledge(spark: SparkSession, d: str) -> DataFrame:
+    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("n")).withColumn("i", F.explode(F.array(*[F.lit(x) for x in range(4)])))
+    return n.select(F.concat(F.lit("KNOW-F"), "n", F.lit("-"), "i").alias("knowledge_key"), F.when(F.col("n") % 6 == 1, "DOC:1.1").otherwise(F.concat(F.lit("DOC:39.1-"), "i")).alias("image_ref"), F.when(F.col("n") % 8 == 0, "section 4").otherwise("section 39.1, 39.10").alias("source_section"))
+
+
 def corrections_apply(spark: SparkSession, d: str) -> DataFrame:
     fixes, links = corrections.parsed(_lots(spark, d))
     good = corrections.lot_status(_lots(spark, d)).where("status = 'OK'").select("lot")
     c, l = fixes.join(good, "lot").drop("lot"), links.join(good, "lot").drop("lot")
-    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("n")).withColumn("i", F.explode(F.array(*[F.lit(x) for x in range(4)])))
-    knowledge = n.select(F.concat(F.lit("KNOW-F"), "n", F.lit("-"), "i").alias("knowledge_key"), F.when(F.col("n") % 6 == 1, "DOC:1.1").otherwise(F.concat(F.lit("DOC:39.1-"), "i")).alias("image_ref"), F.when(F.col("n") % 8 == 0, "section 4").otherwise("section 39.1, 39.10").alias("source_section"))
-    return corrections.applied(knowledge, c, l)[0]
+    return corrections.applied(_knowledge(spark, d), c, l)[0]
+
+
+def _whole_lots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sound lots, two of them with an image that is not there."""
+    fixes, links = corrections.parsed(_lots(spark, d))
+    good = corrections.lot_status(_lots(spark, d)).where("status = 'OK'").select("lot")
+    links = links.join(good, "lot").withColumn("image_ref", F.when(F.col("lot").isin("lot-17", "lot-23"), "gone").otherwise(F.col("image_ref")))
+    images = spark.createDataFrame([(f"DOC:39.2{i}",) for i in range(3)], "image_ref string")
+    return corrections.applied_whole(_knowledge(spark, d), fixes.join(good, "lot"), links, images)
+
+
+def corrections_whole(spark: SparkSession, d: str) -> DataFrame:
+    return _whole_lots(spark, d)[0]
+
+
+def correction_history(spark: SparkSession, d: str) -> DataFrame:
+    return _whole_lots(spark, d)[1]
+
+
+def lot_application(spark: SparkSession, d: str) -> DataFrame:
+    return _whole_lots(spark, d)[2]
 
 
 _LOTS_SQL = """facts AS (SELECT n_nationkey AS n, i FROM nation, range(3) r(i)),
@@ -465,7 +489,7 @@ QUERIES = {
     for f in (
         page_kind, review_items_from_pages, document_counters, ink_shares, page_set_coverage, coverage_totals, contiguous_pages, page_status_by_revision, file_identity, source_dedup, original_audit,
         source_pack_identity, expand_references, resolve_references, reference_link_status, fk_violations, pk_duplicates, null_violations, table_counts, review_gate, store_validation, search_documents,
-        search_hits, search_combined, catalogue_entries, catalogue_problems, catalogue_verify, pack_inspection, pack_staging, lot_status, corrections_apply, tsv_words, tsv_warnings, document_slugs,
+        search_hits, search_combined, catalogue_entries, catalogue_problems, catalogue_verify, pack_inspection, pack_staging, lot_status, corrections_apply, corrections_whole, correction_history, lot_application, tsv_words, tsv_warnings, document_slugs,
         preview_pages, changed_files, safe_paths, publication_state, inflate_lots, zip_members,
     )
 }
@@ -520,6 +544,12 @@ SELECT pack_id, pack_file, source_sha256, pack_size_bytes + 1 AS pack_size_bytes
     "corrections_apply": f"""WITH {_LOTS_SQL}, k AS (SELECT n_nationkey AS n, i, 'KNOW-F' || n_nationkey || '-' || i AS knowledge_key, CASE WHEN n_nationkey % 6 = 1 THEN 'DOC:1.1' ELSE 'DOC:39.1-' || i END AS image_ref, CASE WHEN n_nationkey % 8 = 0 THEN 'section 4' ELSE 'section 39.1, 39.10' END AS source_section FROM nation, range(4) r(i)),
 h AS (SELECT k.*, coalesce(j.status = 'OK' AND i < 3 AND k.n % 6 <> 1 AND k.n % 8 <> 0, false) AS hit FROM k LEFT JOIN judged j ON j.n = k.n)
 SELECT knowledge_key, CASE WHEN hit THEN 'DOC:39.2' || i ELSE image_ref END AS image_ref, CASE WHEN hit THEN replace(source_section, '39.1', '39.2') ELSE source_section END AS source_section FROM h""",
+    "corrections_whole": f"""WITH {_LOTS_SQL}, k AS (SELECT n_nationkey AS n, i, 'KNOW-F' || n_nationkey || '-' || i AS knowledge_key, CASE WHEN n_nationkey % 6 = 1 THEN 'DOC:1.1' ELSE 'DOC:39.1-' || i END AS image_ref, CASE WHEN n_nationkey % 8 = 0 THEN 'section 4' ELSE 'section 39.1, 39.10' END AS source_section FROM nation, range(4) r(i)),
+h AS (SELECT k.*, coalesce(j.status = 'OK' AND i < 3 AND k.n % 6 <> 1 AND k.n % 8 <> 0 AND k.n NOT IN (17, 23), false) AS hit FROM k LEFT JOIN judged j ON j.n = k.n)
+SELECT knowledge_key, CASE WHEN hit THEN 'DOC:39.2' || i ELSE image_ref END AS image_ref, CASE WHEN hit THEN replace(source_section, '39.1', '39.2') ELSE source_section END AS source_section FROM h""",
+    "correction_history": f"""WITH {_LOTS_SQL} SELECT 'C' || i || '-' || j.n AS correction_key, 'KNOW-F' || j.n || '-' || i AS knowledge_key, 'DOC:39.1-' || i AS old_image_ref, 'DOC:39.2' || i AS new_image_ref, 'section 39.1, 39.10' AS old_section, 'section 39.2, 39.20' AS new_section
+FROM judged j, range(3) r(i) WHERE status = 'OK' AND j.n % 6 <> 1 AND j.n % 8 <> 0 AND j.n NOT IN (17, 23)""",
+    "lot_application": f"""WITH {_LOTS_SQL} SELECT 'lot-' || n AS lot, CASE WHEN n % 6 = 1 OR n % 8 = 0 THEN 'LEGACY_VALUE_MISMATCH' WHEN n IN (17, 23) THEN 'IMAGE_NOT_RESOLVED' ELSE 'APPLIED' END AS status FROM judged WHERE status = 'OK'""",
     "tsv_words": f"WITH {_TSV_SQL} SELECT page, block_num, line_num, word_num, 10 AS \"left\", CAST(conf AS DOUBLE) AS confidence, text FROM rows0 WHERE NOT short AND is_word AND text <> '' AND conf IS DISTINCT FROM 'bad'",
     "tsv_warnings": f"""WITH {_TSV_SQL} SELECT doc_id AS page, 'EMPTY_TSV' AS code, 0 AS line_number FROM documents WHERE doc_id % 50 = 7 UNION ALL SELECT doc_id, 'UNEXPECTED_TSV_HEADER', 1 FROM documents WHERE doc_id % 6 = 1 AND doc_id % 50 <> 7
 UNION ALL SELECT page, 'MALFORMED_TSV_ROW', line_number FROM rows0 WHERE short UNION ALL SELECT page, 'INVALID_TSV_WORD_ROW', line_number FROM rows0 WHERE NOT short AND is_word AND text <> '' AND conf = 'bad'""",

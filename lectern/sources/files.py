@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import struct
 import uuid
 import zipfile
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Bytes of an archive's member at most, unpacked.
+LARGEST_MEMBER = 2 << 30
 # Fixed values of page selections.
 FIRST_PREVIEWS, ROUND_PREVIEWS, SHARES, FULL_PREVIEW = 12, [100, 200, 300, 400], [0.1, 0.25, 0.5, 0.75, 0.9], 20
 ZERO_COMMIT = "^0*$"
@@ -56,20 +59,48 @@ def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.option("compression", "gzip").mode("errorifexists").json(path)
 
 
+def write_json_document(row: DataFrame, path: str) -> None:
+    """The one row of a frame as an indented JSON document, letters beyond ASCII as they are, in a folder of its own."""
+    whole = row.limit(2).collect()
+    if len(whole) != 1:
+        raise ValueError("a document is one row")
+    said = json.dumps(whole[0].asDict(recursive=True), ensure_ascii=False, indent=2, default=str)
+    row.sparkSession.createDataFrame([(said,)], "value string").coalesce(1).write.mode("errorifexists").option("lineSep", "\n").text(path)
+
+
+def report(row: DataFrame, title: str) -> str:
+    """The one row of a frame as Markdown: a list of its fields, lists as lists below them."""
+    (whole,) = row.limit(2).collect()
+    lines = [f"# {title}", ""]
+    for name, value in whole.asDict(recursive=True).items():
+        lines += [f"* {name}:", *(f"  * {x}" for x in value)] if isinstance(value, list) else [f"* {name}: {value}"]
+    return "\n".join(lines) + "\n"
+
+
+def write_report(row: DataFrame, title: str, path: str) -> None:
+    """A report for people and one for programs, side by side below path: report.md and report.json."""
+    said = report(row, title)
+    row.sparkSession.createDataFrame([(said,)], "value string").coalesce(1).write.mode("errorifexists").option("lineSep", "\n").text(f"{path}/report.md")
+    write_json_document(row, f"{path}/report.json")
+
+
 def zip_members(archives: DataFrame) -> DataFrame:
-    """archives: path, content -> a row for each member: path, member, size_bytes, sha256, content. An archive that cannot be read gives one row
-    without member and with its error."""
+    """archives: path, content -> a row for each member: path, member, size_bytes, sha256, content. An archive that cannot be read, is encrypted or
+    compressed in a way that is not known, or has a member of more than LARGEST_MEMBER bytes, gives one row without member and with its error.
+    Archives are unpacked one at a time."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            rows = []
             for path, content in zip(frame["path"], frame["content"]):
+                rows = []
                 try:
                     with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        rows += [(path, n, len(b), b, None) for n in z.namelist() if (b := z.read(n)) is not None]
-                except (zipfile.BadZipFile, OSError, TypeError, zlib.error) as e:
-                    rows.append((path, None, None, None, type(e).__name__))
-            yield pd.DataFrame(rows, columns=["path", "member", "size_bytes", "content", "error"])
+                        if max((i.file_size for i in z.infolist()), default=0) > LARGEST_MEMBER:
+                            raise OverflowError
+                        rows = [(path, n, len(b), b, None) for n in z.namelist() if (b := z.read(n)) is not None]
+                except (zipfile.BadZipFile, OSError, TypeError, zlib.error, RuntimeError, NotImplementedError, OverflowError, EOFError) as e:
+                    rows = [(path, None, None, None, type(e).__name__)]
+                yield pd.DataFrame(rows, columns=["path", "member", "size_bytes", "content", "error"])
 
     out = archives.select("path", "content").mapInPandas(run, "path string, member string, size_bytes long, content binary, error string")
     return out.withColumn("sha256", F.sha2("content", 256))
@@ -85,7 +116,10 @@ def unpacked_lots(lots: DataFrame) -> DataFrame:
             for lot, raw in zip(frame["lot"], frame["raw"]):
                 try:
                     (size,) = struct.unpack(">I", raw[:4])
-                    data = zlib.decompress(raw[4:])
+                    unpacker = zlib.decompressobj()
+                    data = unpacker.decompress(raw[4:], size + 1)  # no more than it says, and one byte to see that it says too little
+                    if len(data) <= size and not unpacker.eof:
+                        raise zlib.error
                     rows.append((lot, data.decode("utf-8"), None) if len(data) == size else (lot, None, "LENGTH_MISMATCH"))
                 except (struct.error, TypeError):
                     rows.append((lot, None, "TOO_SHORT"))

@@ -114,6 +114,41 @@ def test_spelling_join_finds_all_pairs_within_the_distance(spark):
     assert got == want and want
 
 
+def test_long_tokens_meet_by_pieces(spark):
+    """All pairs within distance 2 of tokens of 11 to 40 letters and one of 10,000, against a plain comparison."""
+    import random
+
+    rng = random.Random(3)
+
+    def edit(word):
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randrange(1, len(word))
+            word = rng.choice([word[:at] + word[at + 1 :], word[:at] + "q" + word[at:], word[:at] + "z" + word[at + 1 :]])
+        return word
+
+    base = ["t" + "".join(rng.choice("eha") for _ in range(n)) for n in (10, 11, 12, 13, 14, 17, 25, 39, 9999) for _ in range(3)]
+    known = sorted(set(base))
+    doubtful = sorted({edit(w) for w in base for _ in range(3)} - set(known))
+    lex = spark.createDataFrame([("s", w, w, 5, 99.0) for w in known], "source string, token string, canonical string, occurrences long, mean_confidence double")
+    words = spark.createDataFrame([("s", 1, w, 10.0) for w in doubtful], "source string, page int, text string, confidence double")
+
+    def near(a, b):
+        if abs(len(a) - len(b)) > 2:
+            return 9
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j in range(1, len(b) + 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != b[j - 1])) if abs(i - j) <= 3 else 99)
+            row = new
+        return row[-1]
+
+    short = [w for w in doubtful if len(w) < 100]
+    want = {(a, b, d) for a in short for b in known if len(b) < 100 and (d := near(a, b)) <= 2}
+    got = {(r.token, r.known, r.distance) for r in ocr.spelling_matches(words, lex).collect()}
+    assert {x for x in got if len(x[0]) < 100} == want and {x[0] for x in got if len(x[0]) > 100} == {w for w in doubtful if len(w) > 100}
+
+
 def test_page_text_breaks_between_blocks(spark):
     rows = [("s", 1, 1, 1, 1, 2, 0, 0, 1, 1, "b", 1.0), ("s", 1, 1, 1, 1, 1, 5, 0, 1, 1, "a", 1.0), ("s", 1, 1, 1, 2, 1, 0, 0, 1, 1, "c", 1.0), ("s", 1, 2, 1, 1, 1, 0, 0, 1, 1, "d", 1.0)]
     assert ocr.page_text(spark.createDataFrame(rows, WORD)).first().page_text == "a b\nc\n\nd"
@@ -428,3 +463,55 @@ def test_shared_folder_without_a_setting():
     assert shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)))) == "hdfs://x/warehouse/lectern-shared"
     conf["spark.checkpoint.dir"] = "hdfs://x/own"
     assert shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)))) == "hdfs://x/own"
+
+
+def test_documents_and_reports_are_written_once(spark, tmp_path):
+    import json
+
+    from lectern.sources import files
+
+    row = spark.createDataFrame([(1, "é", ["a", "b"])], "n int, said string, why array<string>")
+    files.write_report(row, "Audit", str(tmp_path / "r"))
+    read = lambda name: "\n".join(r.value for r in spark.read.text(str(tmp_path / "r" / name)).collect())
+    assert read("report.md").startswith("# Audit\n") and "* why:\n  * a\n  * b" in read("report.md") and "é" in read("report.json")
+    assert json.loads(read("report.json")) == {"n": 1, "said": "é", "why": ["a", "b"]}
+    with pytest.raises(Exception):
+        files.write_report(row, "Audit", str(tmp_path / "r"))
+    with pytest.raises(ValueError):
+        files.write_json_document(row.union(row), str(tmp_path / "x"))
+
+
+def test_archives_that_cannot_be_unpacked_are_rows(spark):
+    import io
+    import zipfile
+
+    from lectern.sources import files
+
+    good, odd = io.BytesIO(), io.BytesIO()
+    for target in (good, odd):
+        with zipfile.ZipFile(target, "w") as z:
+            z.writestr("a.txt", "hello")
+    raw = bytearray(odd.getvalue())
+    raw[raw.rindex(b"PK\x01\x02") + 8] |= 1  # marked as encrypted
+    got = {(r.path, r.member, r.error) for r in files.zip_members(spark.createDataFrame([("good", good.getvalue()), ("odd", bytes(raw)), ("none", None), ("bad", b"x")], "path string, content binary")).collect()}
+    assert got == {("good", "a.txt", None), ("odd", None, "RuntimeError"), ("none", None, "BadZipFile"), ("bad", None, "BadZipFile")}
+
+
+def test_empty_store_and_upsert(spark):
+    from lectern.operators import audit
+
+    store = audit.empty_store(spark, {"metadata": "key string, value string"})
+    changes = spark.createDataFrame([("a", "1", 1), ("a", "2", 2)], "key string, value string, seq int")
+    assert [tuple(r) for r in audit.upserted(store["metadata"], changes).collect()] == [("a", "2")]
+
+
+def test_long_fragment_chains_are_accepted(spark):
+    """A chain of 70 fragments of two steps each, begun by one with a phase heading; one with another step breaks off."""
+    from lectern.operators import fragments
+
+    rows = [("m", p, "body", [2 * p, 2 * p + 1], int(p == 2), 2 * p, 2 * p + 1) for p in range(2, 72)] + [("m", 50, "left", [7, 8], 0, 7, 8)]
+    frame = spark.createDataFrame(rows, "source string, page int, region string, step_numbers array<int>, n_phases int, first_step int, last_step int")
+    context = spark.createDataFrame([("m", p, "c") for p in range(1, 73)], "source string, page int, chapter_id string")
+    none = spark.createDataFrame([], "source string, page int, step_numbers array<int>")
+    got = {(r.page, r.region): r.accepted for r in fragments.judged_fragments(frame, none, context).collect()}
+    assert got == {(p, r): r == "body" for _, p, r, *_ in rows}
