@@ -16,6 +16,9 @@ THRESHOLD = 0.93
 TILE = 1024
 SAMPLE = 4096
 BOX = 8
+#: A square has 2 ** SQUARE neighbouring cells, and so many parts of them at most; a task takes about so many fields of two squares.
+SQUARE = 2
+FIELDS = 16
 #: Dimensions after which the bound is tried.
 STEPS = (8, 16, 32)
 #: Sums whose distance from the threshold is less than this are taken again from the vectors as given.
@@ -173,31 +176,47 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
         y = frame.rotated(raw)[:, :BOX]
         reps = np.array(table.column("rep").to_pylist(), np.int64)
         times = np.array(table.column("times").to_pylist(), np.int64)
-        group = table.column("__group")[0].as_py()
-        name = f"{group}|{table.column('cell')[0].as_py()}|{table.column('part')[0].as_py()}"
-        return pa.table({"tile": [name], "__group": [group], "low": [y.min(0).tolist()], "high": [y.max(0).tolist()], "reps": [reps.tobytes()], "times": [times.tobytes()], "raws": [raw.tobytes()]})
+        group, cell, part = (table.column(x)[0].as_py() for x in ("__group", "cell", "part"))
+        name, square = f"{group}|{cell}|{part}", f"{group}|{cell >> SQUARE}|{part >> SQUARE}"
+        return pa.table({"tile": [name], "square": [square], "__group": [group], "low": [y.min(0).tolist()], "high": [y.max(0).tolist()], "reps": [reps.tobytes()], "times": [times.tobytes()], "raws": [raw.tobytes()]})
 
-    packed = dealt.groupBy("__group", "cell", "part").applyInArrow(pack, "tile string, __group string, low array<double>, high array<double>, reps binary, times binary, raws binary")
+    packed = dealt.groupBy("__group", "cell", "part").applyInArrow(pack, "tile string, square string, __group string, low array<double>, high array<double>, reps binary, times binary, raws binary")
     packed = c.stash(packed, "vectors-tiles")
-    box = packed.select("__group", "tile", "low", "high")
-    other = box.select("__group", F.col("tile").alias("tile_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
+    box = packed.select("__group", "tile", "square", "low", "high")
+    other = box.select("__group", F.col("tile").alias("tile_b"), F.col("square").alias("square_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
     gaps = F.zip_with(F.arrays_zip("low", "high"), F.arrays_zip("low_b", "high_b"), lambda x, y: F.greatest(F.lit(0.0), x["low"] - y["high_b"], y["low_b"] - x["high"]))
     apart = F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g * g)
-    pairs = box.join(other, "__group").where((F.col("tile") <= F.col("tile_b")) & (apart <= 2 - 2 * threshold + 1e-6)).select("tile", "tile_b")
-    pairs = c.hold(pairs)
-    side = packed.select("tile", "reps", "times", "raws")
-    work = pairs.join(side, "tile").join(side.select(F.col("tile").alias("tile_b"), F.col("reps").alias("reps_b"), F.col("times").alias("times_b"), F.col("raws").alias("raws_b")), "tile_b")
+    tiles = c.hold(box.groupBy("__group").agg(F.count(F.lit(1)).alias("n")))
+    met = c.spread_join(box, other, ["__group"], tiles, tiles.agg(F.sum("n")).first()[0] or 0)
+    pairs = met.where((F.col("tile") <= F.col("tile_b")) & (apart <= 2 - 2 * threshold + 1e-6))
+    field = F.concat_ws("/", F.least("square", "square_b"), F.greatest("square", "square_b")).alias("field")
+    pairs = c.hold(pairs.select(field, "tile", "tile_b"))
+    # a field is two squares of neighbouring tiles: its tiles come once, however many of its pairs are compared
+    wanted = pairs.select("field", "tile").union(pairs.select("field", F.col("tile_b").alias("tile"))).distinct()
+    none = [F.lit(None).cast("binary").alias(x) for x in ("reps", "times", "raws")]
+    work = wanted.join(packed.select("tile", "reps", "times", "raws"), "tile").select("field", F.lit(0).alias("kind"), "tile", F.lit("").alias("tile_b"), "reps", "times", "raws")
+    work = work.unionByName(pairs.select("field", F.lit(1).alias("kind"), "tile", "tile_b", *none))
+    fields = pairs.select("field").distinct().count()
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), fields // FIELDS + 1)
+    work = work.repartition(tasks, "field").sortWithinPartitions("field", "kind")
 
     def compare(batches):
+        here, known = None, {}
         for batch in batches:
             column = {x: batch.column(batch.schema.get_field_index(x)) for x in batch.schema.names}
             for r in range(batch.num_rows):
-                get = lambda x, t: np.frombuffer(column[x][r].as_buffer(), t)  # noqa: E731, B023
-                same = column["tile"][r].as_py() == column["tile_b"][r].as_py()
-                reps_a, reps_b, times_a, times_b = get("reps", "<i8"), get("reps_b", "<i8"), get("times", "<i8"), get("times_b", "<i8")
-                raw_a, raw_b = get("raws", kind).reshape(len(reps_a), -1), get("raws_b", kind).reshape(len(reps_b), -1)
-                a = frame.rotated(raw_a)
-                i, j = linked(a, a if same else frame.rotated(raw_b), raw_a, raw_b, threshold)
+                if column["field"][r].as_py() != here:
+                    here, known = column["field"][r].as_py(), {}
+                tile = column["tile"][r].as_py()
+                if column["kind"][r].as_py() == 0:
+                    reps, times = (np.frombuffer(column[x][r].as_py(), "<i8") for x in ("reps", "times"))
+                    raw = np.frombuffer(column["raws"][r].as_py(), kind).reshape(len(reps), -1)
+                    known[tile] = reps, times, raw, frame.rotated(raw)
+                    continue
+                tile_b = column["tile_b"][r].as_py()
+                same = tile == tile_b
+                (reps_a, times_a, raw_a, a), (reps_b, times_b, raw_b, b) = known[tile], known[tile_b]
+                i, j = linked(a, b, raw_a, raw_b, threshold)
                 if same:
                     i, j = i[i < j], j[i < j]
                     links = np.bincount(i, times_a[j], len(reps_a)) + np.bincount(j, times_a[i], len(reps_a))
@@ -209,8 +228,8 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
                 if len(at):
                     yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(links[at].astype(np.int64)), pa.array(ids[root[at]])], names=["rep", "n", "root"])
 
-    links = c.hold(work.select("tile", "reps", "times", "raws", "tile_b", "reps_b", "times_b", "raws_b").mapInArrow(compare, "rep long, n long, root long"))
-    c.release(counts, pairs)
+    links = c.hold(work.mapInArrow(compare, "rep long, n long, root long"))
+    c.release(counts, pairs, tiles)
     c.discard(celled, packed)
     sums = links.groupBy("rep").agg(F.sum("n").alias("n"))
     ends = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
