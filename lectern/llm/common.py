@@ -54,7 +54,7 @@ def release(*frames: DataFrame) -> None:
 
 
 #: Keys that can be hot at most: a key is if it has more than that part of all rows, and more than HOT_ROWS.
-HOT_KEYS, HOT_ROWS = 1000, 1000
+HOT_KEYS, HOT_ROWS = 1000, 200
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: list[str], counts: DataFrame, rows: int, how: str = "inner") -> DataFrame:
