@@ -26,22 +26,25 @@ def gutter_candidates(words: DataFrame) -> DataFrame:
     """words with region -> per page and candidate x: crossing, left and right words, gap, balance and score, where 10 words at least stand
     on either side and 20 in the body.
 
-    A word is written down only at the candidates where it becomes left, stops being right, and begins and ends to cross; counts and edges at
-    the others are running sums over a page's candidates, so that words are not multiplied by them."""
+    Words are first counted by the last candidate at or before them and the first at or after them; all that lie beyond the candidates on one
+    side are one row then. Such a row is written down only at the candidates where its words become left, stop being right, and begin and
+    end to cross; counts and edges at the others are running sums, so that words are not multiplied by candidates."""
     body = words.where("region = 'body' AND page_width > 0")
     first, last = (F.col("page_width") * GUTTER_FROM).cast("int"), (F.col("page_width") * GUTTER_TO).cast("int")
     body = body.select(*PAGE, "left", (F.col("left") + F.col("width")).alias("right_edge"), first.alias("first"), last.alias("last"))
-    at_or_after = F.greatest(F.col("first"), F.col("first") + F.ceil((F.col("right_edge") - F.col("first")) / GUTTER_STEP).cast("int") * GUTTER_STEP)
-    at_or_before = F.col("first") + F.floor((F.least("left", "last") - F.col("first")) / GUTTER_STEP).cast("int") * GUTTER_STEP
-    after_left = F.greatest(F.col("first"), F.col("first") + (F.floor((F.col("left") - F.col("first")) / GUTTER_STEP).cast("int") + 1) * GUTTER_STEP)
-    none = F.lit(None).cast("int")
-    event = lambda x, n=0, lefts=0, edge=none, rights=0, start=none, cross=0: F.struct(x.alias("x"), *[(F.lit(v) if isinstance(v, int) else v).cast("int").alias(k) for k, v in (("n", n), ("lefts", lefts), ("edge", edge), ("rights", rights), ("start", start), ("cross", cross))])
-    crosses = after_left < F.col("right_edge")
+    on_grid = lambda steps: F.col("first") + steps.cast("int") * GUTTER_STEP
+    before = F.greatest(F.col("first") - GUTTER_STEP, on_grid(F.floor((F.least("left", "last") - F.col("first")) / GUTTER_STEP)))
+    after = F.greatest(F.col("first"), on_grid(F.ceil((F.least("right_edge", F.col("last") + GUTTER_STEP) - F.col("first")) / GUTTER_STEP)))
+    rows = body.groupBy(*PAGE, "first", "last", before.alias("before"), after.alias("after")).agg(F.count(F.lit(1)).cast("int").alias("n"), F.max("right_edge").alias("edge"), F.min("left").alias("start"))
+    zero, none, n = F.lit(0), F.lit(None).cast("int"), F.col("n")
+    event = lambda x, n=zero, lefts=zero, edge=none, rights=zero, start=none, cross=zero: F.struct(x.alias("x"), n.alias("n"), lefts.alias("lefts"), edge.alias("edge"), rights.alias("rights"), start.alias("start"), cross.alias("cross"))
+    begins = F.col("before") + GUTTER_STEP
+    crossing = F.when(begins < F.col("after"), begins)
     events = F.array(
-        event(F.col("first"), n=1), event(at_or_after, lefts=1, edge=F.col("right_edge")), event(at_or_before, rights=1, start=F.col("left")),
-        F.when(crosses, event(after_left, cross=1)), F.when(crosses, event(at_or_after, cross=-1)),
+        event(F.col("first"), n=n), event(F.col("after"), lefts=n, edge=F.col("edge")), event(F.col("before"), rights=n, start=F.col("start")),
+        event(crossing, cross=n), event(F.when(begins < F.col("after"), F.col("after")), cross=-n),
     )
-    met = body.select(*PAGE, "first", "last", F.explode(F.filter(events, lambda e: e.isNotNull() & e["x"].between(F.col("first"), F.col("last")))).alias("e")).select(*PAGE, "e.*")
+    met = rows.select(*PAGE, "first", "last", F.explode(events).alias("e")).where("e.x BETWEEN first AND last").select(*PAGE, "e.*")
     grid = body.groupBy(*PAGE).agg(F.min("first").alias("first"), F.max("last").alias("last")).select(*PAGE, F.explode(F.sequence("first", "last", F.lit(GUTTER_STEP))).alias("x"))
     met = met.unionByName(grid, allowMissingColumns=True).groupBy(*PAGE, "x").agg(*[f(x).alias(x) for f, x in ((F.sum, "n"), (F.sum, "lefts"), (F.max, "edge"), (F.sum, "rights"), (F.min, "start"), (F.sum, "cross"))])
     page = W.partitionBy(*PAGE)
