@@ -152,8 +152,8 @@ def spelling_matches(words: DataFrame, lex: DataFrame, suspect: float = HIGH) ->
     known = known.withColumn("k", F.explode(F.array(*map(F.lit, range(3))))).withColumn("shift", F.explode(F.sequence(F.lit(-2), F.lit(2)))).withColumn("at", F.col("shift") + begins).where((F.col("at") >= 1) & (F.col("at") + size - 1 <= F.length("known")))
     known = known.withColumn("piece", F.substr("known", F.col("at").cast("int"), size.cast("int"))).drop("at", "shift")
     far = parts.join(known, ["source", "whole", "k", "piece"]).drop("whole", "k", "piece")
-    near = near.unionByName(far).distinct().withColumn("distance", F.levenshtein("token", "known", 2))  # -1 beyond 2
-    return near.where(F.col("distance").between(0, F.col("allowed")) & (F.substring("token", 1, 1) == F.substring("known", 1, 1)))
+    near = near.unionByName(far).where(F.substring("token", 1, 1) == F.substring("known", 1, 1)).withColumn("distance", F.levenshtein("token", "known", 2))  # -1 beyond 2
+    return near.where(F.col("distance").between(0, F.col("allowed"))).distinct()  # pairs that met by several rests; others are not shuffled
 
 
 def spelling_candidates(words: DataFrame, lex: DataFrame, suspect: float = HIGH) -> DataFrame:
