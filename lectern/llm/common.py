@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import sys
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,23 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH))
 
 
+def frees_shuffles(make: Callable) -> Callable:
+    """Have Spark delete the shuffle files of each query that make(rows, ...) runs when that query ends; else they stay until the driver happens
+    to collect its garbage. The session's setting holds again for the plan that make returns."""
+
+    @wraps(make)
+    def run(rows: DataFrame, *args, **named) -> DataFrame:
+        conf, name = rows.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = conf.get(name, None)
+        conf.set(name, "true")
+        try:
+            return make(rows, *args, **named)
+        finally:
+            conf.unset(name) if before is None else conf.set(name, before)
+
+    return run
+
+
 #: Bytes of a file of a held table, about, as they are kept in memory.
 FILE_BYTES = 32 << 20
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,11 +17,16 @@ THRESHOLD = 0.93
 TILE = 1024
 SAMPLE = 4096
 BOX = 8
-#: A square has 2 ** SQUARE neighbouring cells, and so many parts of them at most; a task takes about so many fields of two squares.
-SQUARE = 2
-FIELDS = 16
-#: Dimensions after which the bound is tried.
-STEPS = (8, 16, 32)
+#: Bytes of vectors of a pack (neighbouring tiles of one label that are sent together) and of a block (the packs of one file), and bytes of the
+#: blocks that a round compares with all that their labels have.
+PACK = 1 << 20
+BLOCK = 16 << 20
+ROUND = 128 << 20
+#: Leading dimensions that the bound is tried on, in single precision, and by how much it may be wrong there (34 rounded products of sum 1 at most).
+LEAD = 32
+SINGLE = 1e-5
+#: Pairs that are gathered at once hold so many numbers.
+GATHERED = 1 << 21
 #: Sums whose distance from the threshold is less than this are taken again from the vectors as given.
 CLOSE = 1e-9
 
@@ -100,30 +106,25 @@ class Frame:
         return code
 
 
-def linked(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of rotated unit vectors with cosine >= threshold.
+def leading(y: np.ndarray) -> np.ndarray:
+    """Of rotated vectors the leading dimensions and the norm of the rest, in single precision."""
+    rest = np.sqrt(np.einsum("ij,ij->i", y[:, LEAD:], y[:, LEAD:]))
+    return np.concatenate([y[:, :LEAD], rest[:, None]], 1).astype(np.float32)
+
+
+def linked(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, threshold: float, leads: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of rotated unit vectors with cosine >= threshold. leads: leading(a) and leading(b), where they are known.
 
     The product of the leading dimensions plus the product of the norms of the rest bounds the cosine from above: pairs that cannot reach the
-    threshold are dropped, and what is left goes on to more dimensions. Sums close to the threshold are decided by the given vectors."""
-    d = a.shape[1]
-    steps = [s for s in STEPS if s < d] + [d]
-    rest = lambda x, s: np.sqrt(np.maximum(np.einsum("ij,ij->i", x[:, s:], x[:, s:]), 0))
-    first = steps[0]
-    product = a[:, :first] @ b[:, :first].T
-    i, j = np.nonzero(product + np.outer(rest(a, first), rest(b, first)) >= threshold - CLOSE)
-    sums = product[i, j]
-    for s, e in zip(steps, steps[1:]):
-        out_i, out_j, out = [], [], []
-        tail_a, tail_b = rest(a, e), rest(b, e)
-        for k in range(0, len(i), 1 << 18):
-            x, y = i[k : k + (1 << 18)], j[k : k + (1 << 18)]
-            more = sums[k : k + (1 << 18)] + np.einsum("ij,ij->i", a[x, s:e], b[y, s:e])
-            good = more + tail_a[x] * tail_b[y] >= threshold - CLOSE
-            out_i.append(x[good])
-            out_j.append(y[good])
-            out.append(more[good])
-        if out:
-            i, j, sums = np.concatenate(out_i), np.concatenate(out_j), np.concatenate(out)
+    threshold are dropped, and what is left is summed in double precision. Sums close to the threshold are decided by the given vectors."""
+    lead_a, lead_b = leads or (leading(a), leading(b))
+    i, j = np.divmod(np.flatnonzero(lead_a @ lead_b.T >= np.float32(threshold - SINGLE)), len(b))
+    if 16 * len(i) > len(a) * len(b):
+        sums = (a @ b.T)[i, j]
+    else:
+        sums, some = np.zeros(len(i)), max(1, GATHERED // a.shape[1])
+        for k in range(0, len(i), some):
+            sums[k : k + some] = np.einsum("ij,ij->i", a[i[k : k + some]], b[j[k : k + some]])
     good = sums >= threshold
     close = np.flatnonzero(np.abs(sums - threshold) <= CLOSE)
     if len(close):
@@ -133,6 +134,7 @@ def linked(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, t
     return i[good], j[good]
 
 
+@c.frees_shuffles
 def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """One row per row of rows: vec_id, n_links, component_id (the least id reachable by links, its own included) and kept (vec_id =
     component_id).
@@ -143,14 +145,19 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     Ids are whole numbers (of any integer type). Components may be as large or small as doubles can be. Other columns, whatever their names,
     are not read. An empty table gives no rows.
 
-    Every pair of tiles of a label is compared whose boxes along the leading axes are not too far apart for any link: that skips nothing."""
-    c.small_batches(rows.sparkSession)
+    Every pair of tiles of a label is compared whose boxes along the leading axes are not too far apart for any link: that skips nothing. Packs
+    of tiles are written once, in blocks; rounds of blocks meet the blocks of the same labels from there on in a cartesian product, whose tasks
+    read both sides' files. So pairs of tiles grow with the square of a label, and so does what is read, but not what is on disk."""
+    spark = rows.sparkSession
+    c.small_batches(spark)
     found, kind = vectors(rows, id_col, vector_col, label_col)
-    found = found.withColumn("__key", F.when(F.col("__id").isNotNull(), F.unhex(F.md5(F.concat(F.col("__group").cast("binary"), F.col("__raw"))))))
-    found = c.stash(found, "vectors")
-    classes = found.where("__key IS NOT NULL").groupBy("__key").agg(F.min("__id").alias("rep"), F.count(F.lit(1)).alias("times"), F.any_value("__group").alias("__group"), F.any_value("__raw").alias("__raw"))
+    whole = found.withColumn("__key", F.when(F.col("__id").isNotNull(), F.unhex(F.md5(F.concat(F.col("__group").cast("binary"), F.col("__raw"))))))
+    whole = c.stash(whole, "vectors")
+    classes = whole.where("__key IS NOT NULL").groupBy("__key").agg(F.min("__id").alias("rep"), F.count(F.lit(1)).alias("times"), F.any_value("__group").alias("__group"), F.any_value("__raw").alias("__raw"))
     classes = c.stash(classes, "vectors-classes")
-    n = classes.count()
+    found = c.stash(whole.select("__id", "__key"), "vectors-ids")
+    c.discard(whole)
+    n, size = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("__raw")), F.lit(0))).first()
     sample = [np.frombuffer(r[0], kind) for r in classes.select("__raw", "__key").orderBy("__key").limit(SAMPLE).collect()]
     depth = int(min(np.log2(SAMPLE), np.ceil(np.log2(max(1.0, n / tile)))))
     frame = Frame(sample, depth)
@@ -165,80 +172,119 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
                 cells[at] = frame.cells(frame.rotated(np.frombuffer(b"".join(raws[k] for k in at), kind).reshape(len(at), -1)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells)], names=[*batch.schema.names, "cell"])
 
-    celled = c.stash(classes.mapInArrow(place, T.StructType([*classes.schema.fields, T.StructField("cell", T.LongType())])), "vectors-cells")
-    counts = celled.groupBy("__group", "cell").agg(F.count(F.lit(1)).alias("n"))
-    counts = c.hold(counts)
-    dealt = celled.join(counts, ["__group", "cell"]).withColumn("part", F.pmod(F.xxhash64("__key"), F.ceil(F.col("n") / tile)))
+    order = ("__group", "cell", "__key")
+    blocks = max(1, min(-(-n // tile), max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK))))
+    celled = classes.mapInArrow(place, T.StructType([*classes.schema.fields, T.StructField("cell", T.LongType())]))
+    celled = celled.repartitionByRange(blocks, *order).sortWithinPartitions(*order)
+
+    def pack(batches):
+        block, number, group, held = TaskContext.get().partitionId(), 0, None, []
+
+        def packed():
+            reps, times = (np.array([x[k] for x in held], np.int64) for k in (0, 1))
+            raws = b"".join(x[2] for x in held)
+            y = frame.rotated(np.frombuffer(raws, kind).reshape(len(held), -1))[:, :BOX]
+            values = group, number, y.min(0).tolist(), y.max(0).tolist(), reps.tobytes(), times.tobytes(), raws, block
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds)], names=names)
+
+        names = ["__group", "number", "low", "high", "reps", "times", "raws", "block"]
+        kinds = [pa.string(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.binary(), pa.int32()]
+        for batch in batches:
+            for own, *row in zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist() for x in ("__group", "rep", "times", "__raw"))):
+                if held and (own != group or len(held) >= most):
+                    yield packed()
+                    number, held = number + 1, []
+                if not held:
+                    group, most = own, max(64, min(4 * tile, PACK // len(row[2])))
+                held.append(row)
+        if held:
+            yield packed()
+
+    packs = c.stash(celled.mapInArrow(pack, "__group string, number int, low array<double>, high array<double>, reps binary, times binary, raws binary, block int"), "vectors-packs", by=("block",))
     rep_type = classes.schema["rep"].dataType
+    reps = c.stash(classes.select("__key", "rep", "times"), "vectors-reps")
+    c.discard(classes)
 
-    def pack(table: pa.Table) -> pa.Table:
-        raw = np.frombuffer(b"".join(table.column("__raw").to_pylist()), kind).reshape(table.num_rows, -1)
-        y = frame.rotated(raw)[:, :BOX]
-        reps = np.array(table.column("rep").to_pylist(), np.int64)
-        times = np.array(table.column("times").to_pylist(), np.int64)
-        group, cell, part = (table.column(x)[0].as_py() for x in ("__group", "cell", "part"))
-        name, square = f"{group}|{cell}|{part}", f"{group}|{cell >> SQUARE}|{part >> SQUARE}"
-        return pa.table({"tile": [name], "square": [square], "__group": [group], "low": [y.min(0).tolist()], "high": [y.max(0).tolist()], "reps": [reps.tobytes()], "times": [times.tobytes()], "raws": [raw.tobytes()]})
-
-    packed = dealt.groupBy("__group", "cell", "part").applyInArrow(pack, "tile string, square string, __group string, low array<double>, high array<double>, reps binary, times binary, raws binary")
-    packed = c.stash(packed, "vectors-tiles")
-    box = packed.select("__group", "tile", "square", "low", "high")
-    other = box.select("__group", F.col("tile").alias("tile_b"), F.col("square").alias("square_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-    gaps = F.zip_with(F.arrays_zip("low", "high"), F.arrays_zip("low_b", "high_b"), lambda x, y: F.greatest(F.lit(0.0), x["low"] - y["high_b"], y["low_b"] - x["high"]))
-    apart = F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g * g)
-    tiles = c.hold(box.groupBy("__group").agg(F.count(F.lit(1)).alias("n")))
-    met = c.spread_join(box, other, ["__group"], tiles, tiles.agg(F.sum("n")).first()[0] or 0)
-    pairs = met.where((F.col("tile") <= F.col("tile_b")) & (apart <= 2 - 2 * threshold + 1e-6))
-    field = F.concat_ws("/", F.least("square", "square_b"), F.greatest("square", "square_b")).alias("field")
-    pairs = c.hold(pairs.select(field, "tile", "tile_b"))
-    # a field is two squares of neighbouring tiles: its tiles come once, however many of its pairs are compared
-    wanted = pairs.select("field", "tile").union(pairs.select("field", F.col("tile_b").alias("tile"))).distinct()
-    none = [F.lit(None).cast("binary").alias(x) for x in ("reps", "times", "raws")]
-    work = wanted.join(packed.select("tile", "reps", "times", "raws"), "tile").select("field", F.lit(0).alias("kind"), "tile", F.lit("").alias("tile_b"), "reps", "times", "raws")
-    work = work.unionByName(pairs.select("field", F.lit(1).alias("kind"), "tile", "tile_b", *none))
-    fields = pairs.select("field").distinct().count()
-    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), fields // FIELDS + 1)
-    work = work.repartition(tasks, "field").sortWithinPartitions("field", "kind")
+    def opened(reps: bytes, times: bytes, raws: bytes) -> tuple:
+        reps, times = np.frombuffer(reps, "<i8"), np.frombuffer(times, "<i8")
+        raw = np.frombuffer(raws, kind).reshape(len(reps), -1)
+        y = frame.rotated(raw)
+        tiles = [slice(s, min(s + tile, len(reps))) for s in range(0, len(reps), tile)]
+        return reps, times, raw, y, [(s, y[s, :BOX].min(0), y[s, :BOX].max(0), leading(y[s])) for s in tiles]
 
     def compare(batches):
-        here, known = None, {}
+        # all that a task finds is summed in it: where its packs' vectors begin and their links, and pairs of ends in one component
+        name, left, met, ids, ends, total = None, None, {}, [], [], 0
         for batch in batches:
             column = {x: batch.column(batch.schema.get_field_index(x)) for x in batch.schema.names}
             for r in range(batch.num_rows):
-                if column["field"][r].as_py() != here:
-                    here, known = column["field"][r].as_py(), {}
-                tile = column["tile"][r].as_py()
-                if column["kind"][r].as_py() == 0:
-                    reps, times = (np.frombuffer(column[x][r].as_py(), "<i8") for x in ("reps", "times"))
-                    raw = np.frombuffer(column["raws"][r].as_py(), kind).reshape(len(reps), -1)
-                    known[tile] = reps, times, raw, frame.rotated(raw)
-                    continue
-                tile_b = column["tile_b"][r].as_py()
-                same = tile == tile_b
-                (reps_a, times_a, raw_a, a), (reps_b, times_b, raw_b, b) = known[tile], known[tile_b]
-                i, j = linked(a, b, raw_a, raw_b, threshold)
-                if same:
-                    i, j = i[i < j], j[i < j]
-                    links = np.bincount(i, times_a[j], len(reps_a)) + np.bincount(j, times_a[i], len(reps_a))
-                    ids, root = reps_a, roots_of(i, j, len(reps_a))
-                else:
-                    links = np.concatenate([np.bincount(i, times_b[j], len(reps_a)), np.bincount(j, times_a[i], len(reps_b))])
-                    ids, root = np.concatenate([reps_a, reps_b]), roots_of(i, j + len(reps_a), len(reps_a) + len(reps_b))
-                at = np.flatnonzero(links)
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(links[at].astype(np.int64)), pa.array(ids[root[at]])], names=["rep", "n", "root"])
-
-    links = c.hold(work.mapInArrow(compare, "rep long, n long, root long"))
-    c.release(counts, pairs, tiles)
-    c.discard(celled, packed)
+                one, two = ((column[f"block{x}"][r].as_py(), column[f"number{x}"][r].as_py()) for x in ("", "_b"))
+                if one != name:
+                    name, left = one, opened(*(column[x][r].as_py() for x in ("reps", "times", "raws")))
+                same = one == two
+                right = left if same else opened(*(column[f"{x}_b"][r].as_py() for x in ("reps", "times", "raws")))
+                for x, (reps, *_) in ((one, left), (two, right)):
+                    if x not in met:
+                        met[x] = total, np.zeros(len(reps))
+                        ids.append(reps)
+                        total += len(reps)
+                (_, times_a, raw_a, a, tiles_a), (_, times_b, raw_b, b, tiles_b) = left, right
+                (base_a, links_a), (base_b, links_b) = met[one], met[two]
+                for s, low, high, lead in tiles_a:
+                    for t, low_b, high_b, lead_b in tiles_b:
+                        gap = np.maximum(0, np.maximum(low - high_b, low_b - high))
+                        if same and t.start < s.start or gap @ gap > 2 - 2 * threshold + 1e-6:
+                            continue
+                        i, j = linked(a[s], b[t], raw_a[s], raw_b[t], threshold, (lead, lead_b))
+                        if same and s == t:
+                            i, j = i[i < j], j[i < j]
+                        if len(i):
+                            half = s.stop - s.start
+                            at = np.concatenate([np.arange(s.start, s.stop) + base_a, np.arange(t.start, t.stop) + base_b])
+                            links_a[s] += np.bincount(i, times_b[t][j], half)
+                            links_b[t] += np.bincount(j, times_a[s][i], len(at) - half)
+                            root = roots_of(i, j + half, len(at))
+                            far = np.flatnonzero(root != np.arange(len(at)))
+                            ends.append((at[far], at[root[far]]))
+                if sum(len(x) for x, _ in ends) > 1 << 20:
+                    root = roots_of(*(np.concatenate(x) for x in zip(*ends)), total)
+                    far = np.flatnonzero(root != np.arange(total))
+                    ends = [(far, root[far])]
+        if ends:
+            root = roots_of(*(np.concatenate(x) for x in zip(*ends)), total)
+            ids, links = np.concatenate(ids), np.concatenate([n for _, n in met.values()])
+            at = np.flatnonzero(links)
+            for k in range(0, len(at), 1 << 16):
+                x = at[k : k + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[x]), pa.array(links[x].astype(np.int64)), pa.array(ids[root[x]])], names=["rep", "n", "root"])
+
+    kept = "rep long, n long, root long"
+    links = c.stash(spark.createDataFrame([], kept), "vectors-links")
+    spans = sorted((r.block, r.least, r.most) for r in packs.groupBy("block").agg(F.min("__group").alias("least"), F.max("__group").alias("most")).collect())
+    step = max(1, len(spans) * ROUND // max(1, size))
+    gaps = F.zip_with(F.arrays_zip("low", "high"), F.arrays_zip("low_b", "high_b"), lambda x, y: F.greatest(F.lit(0.0), x["low"] - y["high_b"], y["low_b"] - x["high"]))
+    apart = F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g * g)
+    for k in range(0, len(spans), step):
+        first, (last, _, group) = spans[k][0], spans[k : k + step][-1]
+        end = max([last, *(block for block, least, _ in spans[k + step :] if least == group)])
+        one = packs.where(F.col("block").between(first, last))
+        two = packs.where(F.col("block").between(first, end))
+        two = two.select(*[F.col(x).alias(f"{x}_b") for x in two.columns])
+        # of two packs of the round each is met by the other; half of the pairs are taken on either side, so that tasks are even
+        before = F.struct("block", "number") < F.struct("block_b", "number_b")
+        even = (F.col("block") + F.col("number") + F.col("block_b") + F.col("number_b")) % 2 == 0
+        same = (F.col("block") == F.col("block_b")) & (F.col("number") == F.col("number_b"))
+        met = one.hint("shuffle_replicate_nl").join(two, (F.col("__group") == F.col("__group_b")) & ((F.col("block_b") > last) | same | (before == even)) & (apart <= 2 - 2 * threshold + 1e-6))
+        links = c.stash(met.mapInArrow(compare, kept), "vectors-links", onto=links)
+    c.discard(packs)
     sums = links.groupBy("rep").agg(F.sum("n").alias("n"))
     ends = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     least = c.hold(ends.groupBy("root").agg(F.min("node").alias("top")))
     tops = ends.join(least, "root").select(F.col("node").alias("rep"), "top")
-    judged = classes.select("__key", F.col("rep").cast("long").alias("rep"), "times").join(sums, "rep", "left").join(tops, "rep", "left")
+    judged = reps.select("__key", F.col("rep").cast("long").alias("rep"), "times").join(sums, "rep", "left").join(tops, "rep", "left")
     judged = c.stash(judged.select("__key", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("top", "rep").cast(rep_type).alias("top")), "vectors-judged")
     c.release(ends, least)
-    c.discard(classes, links)
+    c.discard(reps, links)
     out = found.select(F.col("__id").alias("vec_id"), "__key").join(judged, "__key", "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("top", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -12,11 +12,12 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/lectern-shared"
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: what is lost later costs no recomputation."""
+def stash(df: DataFrame, name: str, by: tuple[str, ...] = (), onto: DataFrame | None = None) -> DataFrame:
+    """Write df to the shared folder and read it back: what is lost later costs no recomputation. by: columns of which each value gets a folder,
+    so that a filter on them reads no other files. onto: a stash that gets the rows too; what is returned has all of them."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lectern-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = onto._stashed_at if onto is not None else f"{shared_dir(spark)}/lectern-{name}-{uuid.uuid4().hex}"
+    df.write.mode("append" if onto is not None else "error").partitionBy(*by).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stashed_at = path
     return out

@@ -339,6 +339,37 @@ def test_vectors_equal_brute_force(spark, tile):
         assert (r.n_links, r.component_id, r.kept) == (links[r.vec_id], root.get(r.vec_id, r.vec_id), r.vec_id == root.get(r.vec_id, r.vec_id)), r
 
 
+def test_vectors_are_sent_a_bounded_number_of_times(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(4000, 64)).astype("f4")
+    x[2000:] = x[:2000] + rng.normal(size=(2000, 64)).astype("f4") * 0.2
+    frame = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    gateway = spark.sparkContext._gateway
+
+    def shuffled():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+        return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()) if stages.apply(k).stageId() > last), max(stages.apply(k).stageId() for k in range(stages.size()))
+
+    last = -1
+    spark.range(1).collect()
+    last = shuffled()[1]
+    got = embeddings.near_vectors(frame, tile=32).collect()
+    assert sum(r.n_links for r in got if r.vec_id < 2000) >= 2000
+    assert shuffled()[0] < 4 * x.nbytes
+
+
+def test_vectors_of_many_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    centers = rng.normal(size=(40, 12))
+    rows = [(k, (centers[k % 40] + rng.normal(size=12) * 0.25).tolist(), (k % 40) // 15) for k in range(1200)]
+    monkeypatch.setattr(embeddings, "BLOCK", 1 << 13)
+    monkeypatch.setattr(embeddings, "ROUND", 1 << 14)
+    got = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), tile=16).collect()
+    links, root = brute_links(rows)
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(k, links[k], root.get(k, k)) for k, _, _ in rows}
+
+
 def test_vectors_edges(spark):
     schema = "vec_id long, embedding array<double>, label string"
     assert embeddings.near_vectors(spark.createDataFrame([], schema)).count() == 0
