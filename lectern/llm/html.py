@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common as c
+from .graph import components
 from .urls import host_of
 
 #: Importance below which nodes are noise, pages of a host that must have a node, and the weight of what stands below it.
 LEAST_IMPORTANCE = 0.35
 LEAST_PAGES = 4
 GAMMA = 0.9
-#: Of a host with many pages a node must be on this share of them: so a host's tree has no more than so many pages' nodes.
+#: Of a host with many pages, nodes on less than this share of them are weighed apart, branch by branch, and what they come to is handed to
+#: what holds them: so no task has more of a host's tree than a thousand pages' nodes, or one such branch.
 LEAST_SHARE = 0.001
 #: Bytes of the table of unimportant branches up to which it is broadcast; a larger one is joined by host.
 BROADCAST_BYTES = 16 << 20
@@ -235,12 +237,10 @@ def observations(page: str) -> list[tuple[int, int, bool, int, int]]:
     return [*seen.values(), *texts]
 
 
-def importance(nodes: list[tuple[int, int, bool, int, float, float, int]], least: float = LEAST_IMPORTANCE, pages: int = LEAST_PAGES) -> list[int]:
-    """Of one site's tree the topmost branches that are unimportant, with all that is below them.
-
-    nodes: path, parent, guard, number of pages, entropy of styles, mean entropy of texts, number of texts. A node's importance is its style
-    entropy and, the more its children weigh, theirs: (1 - g) * own + g * mean of children, g = GAMMA ** number of children; texts are
-    a child of importance 1 - their mean entropy. Entropies are to the base of the number of pages."""
+def weighed(nodes: list[tuple[int, int, bool, int, float, float, int]], least: float, pages: int, apart: dict[int, tuple[int, float, float, bool]]) -> tuple[list[int], dict[int, float], dict[int, bool], list[int]]:
+    """Of one site's tree, or a branch of it: the topmost nodes, each node's importance, whether it is noise with all that is below it, and the
+    topmost branches that are. apart: of children that are not among nodes their number, the sum of importance times pages, the sum of pages, and
+    whether all are noise."""
     known = {n[0]: n for n in nodes}
     children: dict[int, list[int]] = {}
     for n in nodes:
@@ -254,9 +254,10 @@ def importance(nodes: list[tuple[int, int, bool, int, float, float, int]], least
     for x in reversed(order):
         _, _, guard, m, style, text, n_texts = known[x]
         below = [(value[y], known[y][3]) for y in children.get(x, ())] + ([(1 - text, m)] if n_texts else [])
-        g = GAMMA ** len(below)
-        value[x] = (1 - g) * style + g * sum(v * w for v, w in below) / sum(w for _, w in below) if below else style
-        noise[x] = not guard and m >= pages and value[x] < least and all(noise[y] for y in children.get(x, ()))
+        number, total, weight, quiet = apart.get(x, (0, 0.0, 0.0, True))
+        g = GAMMA ** (len(below) + number)
+        value[x] = (1 - g) * style + g * (sum(v * w for v, w in below) + total) / (sum(w for _, w in below) + weight) if below or number else style
+        noise[x] = not guard and m >= pages and value[x] < least and quiet and all(noise[y] for y in children.get(x, ()))
     out, stack = [], list(children.get(0, ()))
     while stack:
         x = stack.pop()
@@ -264,15 +265,26 @@ def importance(nodes: list[tuple[int, int, bool, int, float, float, int]], least
             out.append(x)
         else:
             stack += children.get(x, ())
-    return sorted(out)
+    return children.get(0, []), value, noise, sorted(out)
 
 
-def style_tree(pages: DataFrame, least: float = LEAST_IMPORTANCE, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """pages: __host, __html. Returns __host and low, the paths of its unimportant branches, for hosts that have any.
+def importance(nodes: list[tuple[int, int, bool, int, float, float, int]], least: float = LEAST_IMPORTANCE, pages: int = LEAST_PAGES) -> list[int]:
+    """Of one site's tree the topmost branches that are unimportant, with all that is below them.
+
+    nodes: path, parent, guard, number of pages, entropy of styles, mean entropy of texts, number of texts. A node's importance is its style
+    entropy and, the more its children weigh, theirs: (1 - g) * own + g * mean of children, g = GAMMA ** number of children; texts are
+    a child of importance 1 - their mean entropy. Entropies are to the base of the number of pages."""
+    return weighed(nodes, least, pages, {})[3]
 
-    Pages add counted observations, which are summed before and after the exchange. What is put together for a host is its tree, a row for each
-    path that least_pages pages have, and LEAST_SHARE of the host's, so that neither many pages nor names made at random make it large. Rarer
-    paths are no noise; all that they have to say is that neither is what holds them."""
+
+def style_tree(pages: DataFrame, least: float = LEAST_IMPORTANCE, least_pages: int = LEAST_PAGES) -> tuple[DataFrame, DataFrame | None]:
+    """pages: __host, __html. Returns __host and low, the paths of its unimportant branches, for hosts that have any; and __host and path of those
+    among the nodes that are on less than LEAST_SHARE of a host's pages (None if no host has such nodes).
+
+    Pages add counted observations, which are summed before and after the exchange. Paths that fewer than least_pages pages have are no noise by
+    definition; all that they have to say is that neither is what holds them. What is put together for a host is a row for each path that
+    LEAST_SHARE of its pages have. What stands in a rarer node is rarer still: such nodes make whole branches, each of which is weighed by itself,
+    and their holder gets the sums. So the tree is weighed as a whole, whatever the share is."""
     seen = pages.where("__host <> '' AND __html IS NOT NULL")
 
     def look(batches):
@@ -301,7 +313,7 @@ def style_tree(pages: DataFrame, least: float = LEAST_IMPORTANCE, least_pages: i
     each = c.stash(each.where("m IS NOT NULL"), "html-nodes")
     hosts = c.hold(each.groupBy("__host").agg(F.max("m").alias("pages"), F.count(F.lit(1)).alias("n")).where(F.col("pages") >= least_pages))
     each = c.spread_join(each, hosts.drop("n"), ["__host"], hosts.drop("pages"), hosts.agg(F.sum("n")).first()[0] or 0)
-    often = F.col("m") >= F.greatest(F.lit(float(least_pages)), F.col("pages") * LEAST_SHARE)
+    often = F.col("m") >= least_pages
     holders = each.where(~often).select("__host", F.col("parent").alias("path"), F.lit(True).alias("holds")).distinct()
     each = each.where(often).join(holders, ["__host", "path"], "left").withColumn("guard", F.col("guard") | F.col("holds").isNotNull())
     log_m = F.log("m")
@@ -309,15 +321,58 @@ def style_tree(pages: DataFrame, least: float = LEAST_IMPORTANCE, least_pages: i
         "__host", "path", "parent", "guard", F.col("m").cast("int").alias("m"),
         F.when(F.col("m") > 1, (log_m - F.col("s") / F.col("m")) / log_m).otherwise(1.0).alias("style"),
         F.when((F.col("m") > 1) & (F.col("n_texts") > 0), F.least(F.lit(1.0), F.col("t") / F.col("n_texts") / log_m)).otherwise(0.0).alias("text"),
-        F.col("n_texts").cast("int").alias("n_texts"),
+        F.col("n_texts").cast("int").alias("n_texts"), (F.col("m") < F.col("pages") * LEAST_SHARE).alias("rare"),
     )
+    each = c.stash(each, "html-nodes")
+    names = ("path", "parent", "guard", "m", "style", "text", "n_texts")
+    rare, common = each.where("rare").drop("rare"), each.where("NOT rare").drop("rare")
+    nothing = [F.lit(None).cast(t).alias(x) for x, t in (("number", "long"), ("total", "double"), ("weight", "double"), ("quiet", "boolean"))]
+    few = None
+    if rare.isEmpty():
+        common = common.select("*", *nothing)
+    else:
+        node = lambda x: F.concat_ws(" ", F.col(x).cast("string"), "__host")
+        held = rare.select(node("path").alias("a"), node("parent").alias("b"))
+        ends = components(held.join(held.select(F.col("a").alias("b")), "b", "left_semi"))
+        branches = rare.withColumn("node", node("path")).join(ends, "node", "left").withColumn("branch", F.coalesce("root", "node"))
+
+        def weigh_branch(table: pa.Table) -> pa.Table:
+            nodes = list(zip(*(table.column(x).to_pylist() for x in names)))
+            tops, value, noise, low = weighed(nodes, least, least_pages, {})
+            rows = [(n[1], value[n[0]], n[3], noise[n[0]], low if k == 0 else []) for k, n in enumerate(n for n in nodes if n[0] in set(tops))]
+            parent, values, m, quiet, lows = zip(*rows) if rows else [()] * 5
+            return pa.table({"__host": table.column("__host").slice(0, 1).take(pa.array([0] * len(rows), pa.int64())), "path": pa.array(parent, pa.int64()), "value": pa.array(values, pa.float64()), "m": pa.array(m, pa.int32()), "noise": pa.array(quiet, pa.bool_()), "low": pa.array(lows, pa.list_(pa.int64()))})
+
+        tops = c.stash(branches.groupBy("branch").applyInArrow(weigh_branch, "__host string, path long, value double, m int, noise boolean, low array<long>"), "html-branches")
+        c.release(ends)
+        sums = tops.groupBy("__host", "path").agg(F.count(F.lit(1)).alias("number"), F.sum(F.col("value") * F.col("m")).alias("total"), F.sum(F.col("m").cast("double")).alias("weight"), F.min("noise").alias("quiet"))
+        common = common.join(sums, ["__host", "path"], "left")
+        few = tops.select("__host", F.explode("low").alias("path"))
 
     def weigh(table: pa.Table) -> pa.Table:
-        names = ("path", "parent", "guard", "m", "style", "text", "n_texts")
-        low = importance(list(zip(*(table.column(x).to_pylist() for x in names))), least, least_pages)
+        apart = {x: rest for x, *rest in zip(*(table.column(y).to_pylist() for y in ("path", "number", "total", "weight", "quiet"))) if rest[0]}
+        low = weighed(list(zip(*(table.column(x).to_pylist() for x in names))), least, least_pages, apart)[3]
         return pa.table({"__host": table.column("__host").slice(0, 1 if low else 0), "low": pa.array([low] if low else [], pa.list_(pa.int64()))})
 
-    return each.groupBy("__host").applyInArrow(weigh, "__host string, low array<long>")
+    return common.groupBy("__host").applyInArrow(weigh, "__host string, low array<long>"), few
+
+
+def pages_with(pages: DataFrame, few: DataFrame) -> DataFrame:
+    """pages: __host, __page (a digest of the html), __html; few: __host, path. Returns __host, __page and own, those of the paths that the page has,
+    for pages that have any: a host may have many rare branches, a page has but its own."""
+    hosts = few.select("__host").distinct()
+
+    def look(batches):
+        for batch in batches:
+            htmls = batch.column(batch.schema.get_field_index("__html"))
+            for i, j in c.pieces(htmls):
+                own = [{n.path for n in parse(page)[1]} for page in htmls.slice(i, j - i).to_pylist()]
+                rows = pa.array([i + k for k, x in enumerate(own) for _ in x], pa.int64())
+                yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(x)).take(rows) for x in ("__host", "__page")), pa.array([y for x in own for y in x], pa.int64())], names=["__host", "__page", "path"])
+
+    # hosts with rare nodes have thousands of pages each, so there are few of them
+    seen = pages.where("__html IS NOT NULL").join(F.broadcast(hosts), "__host", "left_semi").select("__host", "__page", "__html")
+    return seen.mapInArrow(look, "__host string, __page string, path long").join(few, ["__host", "path"]).groupBy("__host", "__page").agg(F.collect_set("path").alias("own"))
 
 
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", least: float = LEAST_IMPORTANCE, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -329,24 +384,36 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", leas
     c.small_batches(pages.sparkSession)
     kept, schema = c.with_columns(pages, [("text", T.StringType()), ("n_chars", T.LongType())])
     keyed = kept.withColumns({"__host": host_of(F.col(f"`{url_col}`").cast("string")), "__html": F.col(f"`{html_col}`")})
-    tree = c.stash(style_tree(keyed, least, least_pages), "html-tree")
+    tree, few = style_tree(keyed, least, least_pages)
+    tree = c.stash(tree, "html-tree")
     size = tree.agg(F.sum(F.length("__host") + 8 * F.size("low") + 32)).first()[0] or 0
+    own = None
+    if few is not None and not (few := c.stash(few, "html-few")).isEmpty():
+        keyed = keyed.withColumn("__page", F.md5(F.col("__html").cast("binary")))
+        own = c.stash(pages_with(keyed, few), "html-own")
     keyed = keyed.drop("__html")
     if size <= BROADCAST_BYTES:
         joined = keyed.join(F.broadcast(tree), "__host", "left")
     else:
         hosts = c.hold(keyed.groupBy("__host").agg(F.count(F.lit(1)).alias("n")))
         joined = c.spread_join(keyed, tree, ["__host"], hosts, hosts.agg(F.sum("n")).first()[0] or 0, "left")
-    joined = joined.select(*[F.col(f"`{n}`") for n in kept.columns], F.col("low").alias("__low"))
+    if own is None:
+        joined = joined.withColumn("own", F.lit(None).cast("array<long>"))
+    elif (own.agg(F.sum(F.length("__host") + 8 * F.size("own") + 64)).first()[0] or 0) <= BROADCAST_BYTES:
+        joined = joined.join(F.broadcast(own), ["__host", "__page"], "left")
+    else:
+        copies = c.hold(keyed.groupBy("__host", "__page").agg(F.count(F.lit(1)).alias("n")))
+        joined = c.spread_join(joined, own, ["__host", "__page"], copies, copies.agg(F.sum("n")).first()[0] or 0, "left")
+    joined = joined.select(*[F.col(f"`{n}`") for n in kept.columns], F.col("low").alias("__low"), F.col("own").alias("__own"))
     where = kept.columns.index(html_col)
 
     def run(batches):
         for batch in batches:
             for i, j in c.pieces(batch.column(where)):
                 part = batch.slice(i, j - i)
-                lows = part.column(part.num_columns - 1).to_pylist()
-                texts = [main_text(h, frozenset(low or ())) for h, low in zip(part.column(where).to_pylist(), lows)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*part.schema.names[:-1], "text", "n_chars"])
+                lows, owns = (part.column(part.num_columns - k).to_pylist() for k in (2, 1))
+                texts = [main_text(h, frozenset((*(low or ()), *(own or ())))) for h, low, own in zip(part.column(where).to_pylist(), lows, owns)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*part.schema.names[:-2], "text", "n_chars"])
 
     return joined.mapInArrow(run, schema)
 

@@ -292,6 +292,33 @@ def test_names_made_at_random_make_no_large_tree(spark):
     assert {r.text for r in html.extract(frame).collect()} == {f"Imprint\n\nOwn text {k}" for k in range(12)}
 
 
+def test_rare_branches_of_a_large_host_go_too(spark):
+    rows = [(k, "http://a.com/", f"<body><div class=c><p>Own text {k}</p></div>{'<div class=x1><p>Sign up today</p></div>' if k < 5 else ''}</body>") for k in range(6000)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html.extract(frame).collect()} == {k: f"Own text {k}" for k in range(6000)}
+
+
+def test_rare_branches_are_weighed_as_in_the_whole_tree(spark, monkeypatch):
+    rng = random.Random(5)
+
+    def branch(k, number, depth):
+        """Of a class by its number; those below are on some pages, and every fifth has words of its own page."""
+        below = "".join(branch(k, 3 * number + j, depth - 1) for j in range(3) if rng.random() < 0.6) if depth else ""
+        return f"<div class=k{'abcdefghij'[number % 10]}><p>{f'Own {k}' if number % 5 == 4 else f'Words {number}'}</p>{below}</div>"
+
+    rows = [(k, f"http://{'ab'[k % 2]}.com/", f"<body>{''.join(branch(k, j, 3) for j in range(10) if rng.random() < 0.1 * (1 + j))}<h2>Page {k}</h2></body>") for k in range(160)]
+    rows += [(k + 160, u, h) for k, u, h in rows[:20]] + [(400, "http://a.com/", None)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    seen = {}
+    for share, limit in ((0, html.BROADCAST_BYTES), (0.2, html.BROADCAST_BYTES), (0.6, 0), (2, html.BROADCAST_BYTES)):
+        monkeypatch.setattr(html, "LEAST_SHARE", share)
+        monkeypatch.setattr(html, "BROADCAST_BYTES", limit)
+        seen[share] = {r.page_id: r.text for r in html.extract(frame).collect()}
+    whole = {k: html.main_text(h) for k, _, h in rows}
+    assert sum(seen[0][k] != whole[k] for k in whole) > 20
+    assert seen[0.2] == seen[0] and seen[0.6] == seen[0] and seen[2] == seen[0]
+
+
 def test_importance_is_guarded_by_content():
     nodes = [(1, 0, False, 10, 0.0, 0.0, 0), (2, 1, False, 10, 0.0, 1.0, 3), (3, 1, True, 10, 0.0, 1.0, 3), (4, 1, False, 2, 0.0, 1.0, 1), (5, 1, False, 10, 0.9, 0.1, 9)]
     nodes += [(6, 1, False, 10, 0.0, 0.0, 0), (7, 6, False, 10, 0.0, 1.0, 1), (8, 6, False, 10, 0.0, 0.95, 2), (9, 1, False, 10, 0.0, 0.0, 0), (10, 9, False, 10, 0.0, 1.0, 1), (11, 9, False, 10, 0.5, 0.3, 1)]
