@@ -180,9 +180,12 @@ def reference_audit(visual_assets: DataFrame, diagrams: DataFrame, files: DataFr
 
 def ocr_evidence(expected: DataFrame, evidence: DataFrame, payloads: DataFrame) -> DataFrame:
     """expected: source_sha256, n_pages; evidence: source_sha256, page, says_sha256, says_page, raw_sha256; payloads: source_sha256, page, sha256 (of
-    the unpacked word table). Each page's first failing check, or OK: a pack is made only if all are."""
+    the unpacked word table). Each page's first failing check, or OK: a pack is made only if all are.
+
+    The rows of both sides are digests, which files' sizes and column types tell nothing of, so the joins are never broadcast by an estimate."""
+    evidence, payloads = (x.hint("merge") for x in (evidence.withColumn("there", F.lit(True)), payloads.select("source_sha256", "page", F.col("sha256").alias("payload"))))
     pages = expected.where("n_pages > 0").select("source_sha256", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_pages").cast("long"))).alias("page"))
-    out = pages.join(evidence.withColumn("there", F.lit(True)), ["source_sha256", "page"], "left").join(payloads.select("source_sha256", "page", F.col("sha256").alias("payload")), ["source_sha256", "page"], "left")
+    out = pages.join(evidence, ["source_sha256", "page"], "left").join(payloads, ["source_sha256", "page"], "left")
     status = (
         F.when(F.col("there").isNull(), "MISSING_OCR_PAGE")
         .when(~F.col("says_sha256").eqNullSafe(F.col("source_sha256")) | ~F.col("says_page").eqNullSafe(F.col("page")), "OCR_PROVENANCE_MISMATCH")
