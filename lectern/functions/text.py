@@ -23,13 +23,20 @@ REPAIR_NUMBER = r"(?i)\bService\s+Repair\s+No\.?\s*([0-9]+(?:\.[0-9]+){1,4})\b"
 STEP = r"^\s*(\d{1,3})\.\s*(.*)$"
 BULLET = r"(?i)^\s*(?:[•●▪◦*-]|[eo]\s+)\s*(.*)$"
 TRAILING_PAGE = r"\s+(\d{1,3})\s*$"
+UNEVEN = r"[^ -~]|  |^ | \z"
 TITLE_RATIO, HEADING_RATIO, LONGEST_TITLE, LEAST_LETTERS = 0.82, 0.72, 110, 4
 
 
 def spaced(text: Column) -> Column:
-    """Dashes made plain, runs of white space (as Unicode has it) one space, none at the ends; null is empty."""
-    plain = F.translate(F.coalesce(text, F.lit("")), "–—", "--")
-    return F.trim(F.regexp_replace(plain, r"(?U)[\s\x1c-\x1f]+", " "))
+    """Dashes made plain, runs of white space (as Unicode has it) one space, none at the ends; null is empty. Text of plain ASCII that has no
+    other space than single ones between words, as most has, is told by one search and stays as it is."""
+    plain = F.translate(text, "–—", "--")
+    return F.when(text.isNull(), "").when(~text.rlike(UNEVEN), text).otherwise(F.trim(F.regexp_replace(plain, r"(?U)[\s\x1c-\x1f]+", " ")))
+
+
+def _even(text: Column, even: bool) -> Column:
+    """The functions below take even=True for text that is spaced already, as a column that is used often should be."""
+    return text if even else spaced(text)
 
 
 def stripped(text: Column, edges: str) -> Column:
@@ -37,28 +44,35 @@ def stripped(text: Column, edges: str) -> Column:
 
 
 def letters(text: Column) -> Column:
-    return F.regexp_replace(text, r"[^\p{L}]", "")
+    return F.regexp_replace(text, r"[^\p{L}]+", "")
 
 
 def upper_ratio(text: Column) -> Column:
     """Share of capitals among letters; 0 without letters."""
-    return F.regexp_count(letters(text), F.lit(r"\p{Lu}")) / F.greatest(F.lit(1), F.length(letters(text)))
+    capitals = F.length(text) - F.length(F.regexp_replace(text, r"\p{Lu}+", ""))
+    return capitals / F.greatest(F.lit(1), F.length(letters(text)))
+
+
+def _capital(text: Column, least: float) -> Column:
+    """Whether text is no longer than a title, has as many letters as one, and this share of capitals (so one at least: most lines have none)."""
+    return (F.length(text) <= LONGEST_TITLE) & text.rlike(r"\p{Lu}") & (F.length(letters(text)) >= LEAST_LETTERS) & (upper_ratio(text) >= least)
 
 
-def clean_heading(text: Column) -> Column:
-    s = F.regexp_replace(spaced(text), r"^[^A-Za-z0-9]+", "")
+def clean_heading(text: Column, even: bool = False) -> Column:
+    s = F.regexp_replace(_even(text, even), r"^[^A-Za-z0-9]+", "")
     s = F.regexp_replace(s, r"[^A-Za-z0-9)./&+-]+$", "")
     return stripped(s, CLEAN_EDGES)
 
 
-def is_title(text: Column) -> Column:
-    s = spaced(text)
-    return (F.length(letters(s)) >= LEAST_LETTERS) & (F.length(s) <= LONGEST_TITLE) & (upper_ratio(s) >= TITLE_RATIO) & ~F.upper(s).isin(STOP_HEADINGS)
+def is_title(text: Column, even: bool = False) -> Column:
+    s = _even(text, even)
+    return _capital(s, TITLE_RATIO) & ~F.upper(s).isin(STOP_HEADINGS)
 
 
-def is_heading(text: Column) -> Column:
-    s = clean_heading(text)
-    return (F.length(letters(s)) >= LEAST_LETTERS) & (F.length(s) <= LONGEST_TITLE) & (upper_ratio(s) >= HEADING_RATIO) & (F.upper(s) != "CONTENTS")
+def is_heading(text: Column, clean: bool = False) -> Column:
+    """clean: text is a cleaned heading already."""
+    s = text if clean else clean_heading(text)
+    return _capital(s, HEADING_RATIO) & (F.upper(s) != "CONTENTS")
 
 
 def token(text: Column) -> Column:
@@ -70,9 +84,9 @@ def is_word_like(normal: Column) -> Column:
     return normal.rlike(WORD_LIKE)
 
 
-def phase_source(text: Column) -> Column:
+def phase_source(text: Column, even: bool = False) -> Column:
     """The phase heading's own form if the whole line is one, else null."""
-    form = F.lower(stripped(spaced(text), HEADING_EDGES))
+    form = F.lower(stripped(_even(text, even), HEADING_EDGES))
     return F.when(form.isin(list(PHASES)), form)
 
 
@@ -80,29 +94,31 @@ def phase_label(source: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in PHASES.items() for x in pair]), source)
 
 
-def repair_number(text: Column) -> Column:
-    found = F.regexp_extract(spaced(text), REPAIR_NUMBER, 1)
+def repair_number(text: Column, even: bool = False) -> Column:
+    s = _even(text, even)
+    found = F.when(F.contains(F.lower(s), F.lit("service")), F.regexp_extract(s, REPAIR_NUMBER, 1)).otherwise("")
     return F.when(found != "", found)
 
 
-def step_number(text: Column) -> Column:
-    return F.regexp_extract(spaced(text), STEP, 1).try_cast("int")
+def step_number(text: Column, even: bool = False) -> Column:
+    s = _even(text, even)
+    return F.when(F.substring(s, 1, 1).between("0", "9"), F.regexp_extract(s, STEP, 1).try_cast("int"))
 
 
-def step_body(text: Column) -> Column:
-    return F.trim(F.regexp_extract(spaced(text), STEP, 2))
+def step_body(text: Column, even: bool = False) -> Column:
+    return F.trim(F.regexp_extract(_even(text, even), STEP, 2))
 
 
-def is_bullet(text: Column) -> Column:
-    return spaced(text).rlike(BULLET)
+def is_bullet(text: Column, even: bool = False) -> Column:
+    return _even(text, even).rlike(BULLET)
 
 
-def bullet_body(text: Column) -> Column:
-    return F.trim(F.regexp_extract(spaced(text), BULLET, 1))
+def bullet_body(text: Column, even: bool = False) -> Column:
+    return F.trim(F.regexp_extract(_even(text, even), BULLET, 1))
 
 
-def is_standalone(text: Column, heading: str) -> Column:
-    return F.upper(stripped(spaced(text), HEADING_EDGES)) == heading
+def is_standalone(text: Column, heading: str, even: bool = False) -> Column:
+    return F.upper(stripped(_even(text, even), HEADING_EDGES)) == heading
 
 
 def noise_ratio(text: Column) -> Column:

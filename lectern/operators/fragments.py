@@ -6,20 +6,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import text as t
 from ..sources.shared import discard, stash
 from .ocr import reasons
-from .structure import OUTSIDE, REGION, procedures
+from .structure import LEAST_STEPS, REGION, marked, pieces
 
 
 def raw_fragments(lines: DataFrame) -> DataFrame:
     """Body regions without a repair number, with two numbered lines at least, that have a phase heading or begin after step 1."""
-    body = lines.where(~F.col("region").isin(OUTSIDE)).withColumns({"number": t.step_number(F.col("text")), "phase": t.phase_source(F.col("text"))})
+    return fragments_in(regions_whole(lines))
+
+
+def regions_whole(lines: DataFrame) -> DataFrame:
+    """Regions as pieces, without a look at segments: only regions without a repair number can be fragments, and they have none."""
     numbers = F.transform(F.array_sort(F.collect_list(F.when(F.col("number").isNotNull(), F.struct("line_index", "number")))), lambda x: x["number"])
-    out = body.groupBy(*REGION).agg(numbers.alias("step_numbers"), F.count("phase").alias("n_phases"), F.bool_or(t.repair_number(F.col("text")).isNotNull()).alias("anchored"))
-    out = out.where(~F.col("anchored") & (F.size("step_numbers") >= 2))
+    out = marked(lines).groupBy(*REGION).agg(numbers.alias("step_numbers"), F.count("phase_source").alias("n_phases"), F.count("repair").alias("n_repairs"))
+    return out.withColumn("anchor", F.lit(None))
+
+
+def fragments_in(found: DataFrame) -> DataFrame:
+    """Raw fragments among pieces."""
+    out = found.where(F.col("anchor").isNull() & (F.col("n_repairs") == 0) & (F.size("step_numbers") >= 2))
     out = out.withColumns({"first_step": F.element_at("step_numbers", 1), "last_step": F.element_at("step_numbers", -1)})
-    return out.where((F.col("n_phases") > 0) | (F.col("first_step") > 1)).drop("anchored")
+    return out.where((F.col("n_phases") > 0) | (F.col("first_step") > 1)).select(*REGION, "step_numbers", "n_phases", "first_step", "last_step")
 
 
 def judged_fragments(fragments: DataFrame, procedure_rows: DataFrame, context: DataFrame) -> DataFrame:
@@ -71,7 +79,15 @@ def link_candidates(judged: DataFrame) -> DataFrame:
 
 
 def fragments_of(lines: DataFrame, context: DataFrame) -> DataFrame:
-    return judged_fragments(raw_fragments(lines), procedures(lines), context)
+    """Judged fragments of lines; segments and regions are summed up once, and procedures kept by page and last step only."""
+    found = pieces(lines)
+    procedure = F.col("anchor").isNotNull() & (F.col("n_steps") >= LEAST_STEPS) & (F.col("n_phases") > 0)
+    numbers = F.when(F.col("anchor").isNotNull(), F.slice("step_numbers", -1, 1)).otherwise(F.col("step_numbers"))
+    found = found.where(procedure | (F.col("anchor").isNull() & (F.col("n_repairs") == 0) & (F.col("n_steps") >= 2)))
+    found = stash(found.select(*REGION, "anchor", numbers.alias("step_numbers"), "n_phases", "n_repairs"), "fragments-pieces")
+    out = judged_fragments(fragments_in(found), found.where("anchor IS NOT NULL"), context)
+    discard(found)
+    return out
 
 
 def contiguous_pages(pages: DataFrame) -> DataFrame:

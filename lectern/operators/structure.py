@@ -17,46 +17,64 @@ OUTSIDE = ["header", "footer", "spanning"]
 LOOKBACK, LOW_STEP, LEAST_STEPS, CONTENTS_LINES, LIST_LINES = 4, 70.0, 2, 8, 5
 
 
-def anchored(lines: DataFrame) -> DataFrame:
-    """Lines of body regions with the repair number they hold, the title line above an anchor (the nearest of four), and the procedure segment
-    they lie in: from the line after an anchor to the next anchor's title, or to that anchor if it has none of its own."""
-    body = lines.where(~F.col("region").isin(OUTSIDE)).withColumns({"text": t.spaced(F.col("text")), "repair": t.repair_number(F.col("text"))})
+def marked(lines: DataFrame, outside: bool = False) -> DataFrame:
+    """Lines of body regions with their text spaced and what it is by itself: repair number, title, phase heading, step number. outside: lines
+    of other regions too, which are none of these."""
+    text = F.col("text")
+    body = lines.where(F.lit(True) if outside else ~F.col("region").isin(OUTSIDE)).withColumn("text", t.spaced(text))
+    own = lambda x: F.when(~F.col("region").isin(OUTSIDE), x) if outside else x
+    return body.withColumns({"repair": own(t.repair_number(text, True)), "titled": own(t.is_title(text, True)), "phase_source": own(t.phase_source(text, True)), "number": own(t.step_number(text, True))})
+
+
+def anchored(lines: DataFrame, outside: bool = False) -> DataFrame:
+    """Marked lines with the title line above an anchor (the nearest of four), and the procedure segment they lie in: from the line after an
+    anchor to the next anchor's title, or to that anchor if it has none of its own. phase_no, step_no and phase_source count and keep phase
+    headings and steps from the anchor on; before is the number of the step before a line.
+
+    All is running values over a region's lines, which are sorted once: a title that ends a segment stands at most four lines above the next
+    anchor, and what is counted within segments and phases is the count at a line less that at the line that opens them."""
     order = W.partitionBy(*REGION).orderBy("line_index")
-    back = order.rowsBetween(-LOOKBACK, -1)
-    found = F.max(F.when(t.is_title(F.col("text")), F.struct("line_index", "text"))).over(back)
-    body = body.withColumn("above", F.when(F.col("repair").isNotNull(), found))
-    so_far = order.rowsBetween(W.unboundedPreceding, -1)
-    last = F.last(F.when(F.col("repair").isNotNull(), F.struct(F.col("line_index").alias("at"), "repair", "above")), True).over(so_far)
-    from_here = order.rowsBetween(0, W.unboundedFollowing)
-    coming = F.first(F.when(F.col("repair").isNotNull(), F.struct(F.col("line_index").alias("at"), "above")), True).over(from_here)
-    body = body.withColumns({"own": last, "next": coming})
-    cut = F.when(F.col("next.above.line_index") > F.col("own.at"), F.col("next.above.line_index")).otherwise(F.col("next.at"))
-    inside = F.col("own").isNotNull() & (F.col("next").isNull() | (F.col("line_index") < cut))
-    return body.withColumn("anchor", F.when(inside & F.col("repair").isNull(), F.col("own.at"))).drop("next")
+    back, ahead = order.rowsBetween(-LOOKBACK, -1), order.rowsBetween(1, LOOKBACK)
+    so_far, up_to = order.rowsBetween(W.unboundedPreceding, -1), order.rowsBetween(W.unboundedPreceding, 0)
+    is_anchor, is_phase = F.col("repair").isNotNull(), F.col("phase_source").isNotNull()
+    is_step = ~is_phase & F.col("number").isNotNull()
+    body = marked(lines, outside).withColumns({"is_step": is_step})
+    body = body.withColumns({
+        "above": F.max(F.when(F.col("titled"), F.struct("line_index", "text"))).over(back),
+        "phases": F.sum(is_phase.cast("int")).over(up_to), "steps": F.sum(F.col("is_step").cast("int")).over(up_to),
+        "heading": F.last("phase_source", True).over(up_to), "before": F.last(F.when(F.col("is_step"), F.col("number")), True).over(so_far),
+    })
+    anchor = F.struct(F.col("line_index").alias("at"), "repair", "above", "phases")
+    body = body.withColumns({
+        "own": F.last(F.when(is_anchor, anchor), True).over(so_far), "ends": F.first(F.when(is_anchor, F.struct(F.col("above.line_index").alias("at"))), True).over(ahead),
+        "opened": F.last(F.when(is_anchor | is_phase, F.col("steps")), True).over(up_to),
+    })
+    cut = F.coalesce((F.col("ends.at") > F.col("own.at")) & (F.col("line_index") >= F.col("ends.at")), F.lit(False))
+    body = body.withColumn("anchor", F.when(F.col("own").isNotNull() & ~is_anchor & ~cut, F.col("own.at")))
+    phase_no = F.col("phases") - F.col("own.phases")
+    return body.withColumns({"phase_no": phase_no, "step_no": F.col("steps") - F.col("opened"), "heading": F.when(phase_no > 0, F.col("heading"))}).drop("titled", "phases", "steps", "ends", "opened")
+
+
+def kinds(body: DataFrame) -> DataFrame:
+    """Anchored lines by what they are within a segment, and whether a step breaks the numbering of its phase (null for the first one)."""
+    open_step = F.col("step_no") > 0
+    kind = F.when(F.col("phase_source").isNotNull(), "phase").when(F.col("is_step"), "step").when(open_step & t.is_bullet(F.col("text"), True), "bullet").when(open_step, "continuation").otherwise("other")
+    return body.withColumns({"kind": F.when(F.col("anchor").isNotNull() & (F.col("text") != ""), kind), "breaks": F.when(F.col("is_step") & (F.col("step_no") > 1), F.col("number") != F.col("before") + 1)})
 
 
 def segment_lines(lines: DataFrame) -> DataFrame:
     """Lines inside segments by what they are: phase, step, bullet (only below a step), continuation (below a step) or other. phase_no and step_no
-    count within the segment; a phase heading closes the step before it."""
-    inside = anchored(lines).where("anchor IS NOT NULL AND text <> ''")
-    inside = inside.withColumns({"phase_source": t.phase_source(F.col("text")), "number": t.step_number(F.col("text"))})
-    is_phase = F.col("phase_source").isNotNull()
-    is_step = ~is_phase & F.col("number").isNotNull()
-    segment = W.partitionBy(*REGION, "anchor").orderBy("line_index").rowsBetween(W.unboundedPreceding, 0)
-    inside = inside.withColumn("phase_no", F.sum(is_phase.cast("int")).over(segment))
-    inside = inside.withColumn("phase", t.phase_label(F.last("phase_source", True).over(segment)))
-    in_phase = W.partitionBy(*REGION, "anchor", "phase_no").orderBy("line_index").rowsBetween(W.unboundedPreceding, 0)
-    inside = inside.withColumn("step_no", F.sum(is_step.cast("int")).over(in_phase))
-    open_step = F.col("step_no") > 0
-    kind = F.when(is_phase, "phase").when(is_step, "step").when(open_step & t.is_bullet(F.col("text")), "bullet").when(open_step, "continuation").otherwise("other")
-    return inside.select(*REGION, "anchor", "own", "line_index", kind.alias("kind"), "phase_no", "phase", "phase_source", "step_no", "number", "text", "mean_confidence")
+    count within the segment; a phase heading closes the step before it. breaks: a step whose number is not one more than that before it in
+    its phase (null for the first)."""
+    inside = kinds(anchored(lines).where("anchor IS NOT NULL AND text <> ''"))
+    return inside.select(*REGION, "anchor", "line_index", "kind", "phase_no", t.phase_label(F.col("heading")).alias("phase"), F.col("heading").alias("phase_source"), "step_no", "number", "breaks", "text", "mean_confidence")
 
 
 def steps(lines: DataFrame) -> DataFrame:
     """Steps of segments: number, whole text (continuations joined), bullets, and the least confidence of its own and continuing lines."""
     inside = segment_lines(lines).where("kind IN ('step', 'bullet', 'continuation')")
-    said = F.when(F.col("kind") == "step", t.step_body(F.col("text"))).when(F.col("kind") == "continuation", F.col("text"))
-    item = F.when(F.col("kind") == "bullet", F.struct("line_index", t.bullet_body(F.col("text")).alias("said")))
+    said = F.when(F.col("kind") == "step", t.step_body(F.col("text"), True)).when(F.col("kind") == "continuation", F.col("text"))
+    item = F.when(F.col("kind") == "bullet", F.struct("line_index", t.bullet_body(F.col("text"), True).alias("said")))
     own = F.col("kind") != "bullet"
     joined = lambda parts, by: F.array_join(F.transform(F.array_sort(F.collect_list(parts)), lambda x: x["said"]), by)
     return inside.groupBy(*REGION, "anchor", "phase_no", "step_no").agg(
@@ -79,54 +97,62 @@ def sequence_columns(order: W) -> dict[str, Column]:
 def phases(lines: DataFrame) -> DataFrame:
     """Phases of segments, each heading one, with the verdict on their numbers."""
     inside = segment_lines(lines).where("phase_no > 0")
-    order = W.partitionBy(*REGION, "anchor", "phase_no").orderBy("line_index")
     is_step = F.col("kind") == "step"
-    own = inside.where(is_step).withColumns(sequence_columns(order)).groupBy(*REGION, "anchor", "phase_no").agg(F.count(F.lit(1)).alias("n_steps"), F.sum("break").alias("breaks"))
-    head = inside.where("kind = 'phase'").select(*REGION, "anchor", "phase_no", "phase", "phase_source", "line_index")
-    out = head.join(own, [*REGION, "anchor", "phase_no"], "left").withColumns({"n_steps": F.coalesce("n_steps", F.lit(0)), "breaks": F.coalesce("breaks", F.lit(0))})
+    out = inside.groupBy(*REGION, "anchor", "phase_no", "phase", "phase_source").agg(
+        F.min(F.when(F.col("kind") == "phase", F.col("line_index"))).alias("line_index"), F.count(F.when(is_step, 1)).alias("n_steps"), F.count(F.when(is_step & F.col("breaks"), 1)).alias("breaks"),
+    )
     return out.withColumn("status", sequence_status(F.col("n_steps"), F.col("breaks"))).drop("breaks")
 
 
-def procedures(lines: DataFrame) -> DataFrame:
-    """Segments with two steps and a phase at least: repair number, title, step numbers, verdict on the sequence by phase, and why a person has to
-    look. All of them are candidates."""
-    inside = segment_lines(lines)
-    key = [*REGION, "anchor"]
-    order = W.partitionBy(*key, "phase_no").orderBy("line_index")
-    numbered = inside.where("kind = 'step'").withColumns(sequence_columns(order))
-    by_phase = numbered.groupBy(*key, "phase_no").agg(F.count(F.lit(1)).alias("n"), F.sum("break").alias("breaks"))
-    bad = by_phase.withColumn("bad", (F.col("phase_no") > 0) & (F.col("n") > 1) & (F.coalesce("breaks", F.lit(0)) > 0))
-    bad = bad.groupBy(*key).agg(F.bool_or("bad").alias("bad_phase"))
+def pieces(lines: DataFrame) -> DataFrame:
+    """What procedures and raw fragments are made of, by one aggregation: the sums of each segment, and of the lines of each region that lie in
+    none (anchor is null)."""
+    body = kinds(anchored(lines))
+    inside, is_step = F.col("anchor").isNotNull(), F.col("number").isNotNull()
     low = F.col("kind").isin("step", "continuation") & (F.col("mean_confidence") < LOW_STEP)
-    numbers = F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == "step", F.struct("line_index", "number")))), lambda x: x["number"])
-    out = inside.groupBy(*key).agg(
-        F.first("own").alias("own"), F.count(F.when(F.col("kind") == "step", 1)).alias("n_steps"), F.count(F.when(F.col("kind") == "phase", 1)).alias("n_phases"),
-        F.count(F.when((F.col("kind") == "step") & (F.col("phase_no") == 0), 1)).alias("unphased"), F.count(F.when(low, 1)).alias("low"),
-        numbers.alias("step_numbers"), F.count(F.when(F.col("kind") == "other", 1)).alias("n_uncategorised"),
+    numbers = F.transform(F.array_sort(F.collect_list(F.when(is_step, F.struct("line_index", "number")))), lambda x: x["number"])
+    return body.groupBy(*REGION, "anchor").agg(
+        F.first(F.when(inside, F.struct("own.repair", F.col("own.above.text").alias("title")))).alias("own"), F.count(F.when(is_step, 1)).alias("n_steps"), F.count("phase_source").alias("n_phases"),
+        F.count(F.when(is_step & (F.col("phase_no") == 0), 1)).alias("unphased"), F.count(F.when(low, 1)).alias("low"), numbers.alias("step_numbers"), F.count(F.when(F.col("kind") == "other", 1)).alias("n_uncategorised"),
+        (F.count(F.when((F.col("phase_no") > 0) & F.col("breaks"), 1)) > 0).alias("bad_phase"), F.count("repair").alias("n_repairs"),
     )
-    out = out.where((F.col("n_steps") >= LEAST_STEPS) & (F.col("n_phases") > 0)).join(bad, key, "left")
-    title = F.col("own.above.text")
+
+
+def procedures_of(found: DataFrame) -> DataFrame:
+    """Procedures among pieces."""
+    out = found.where(F.col("anchor").isNotNull() & (F.col("n_steps") >= LEAST_STEPS) & (F.col("n_phases") > 0))
+    title = F.col("own.title")
     status = F.when(F.col("bad_phase"), "phase_sequence_issue").when(F.col("unphased") > 0, "unphased_steps_present").otherwise("contiguous_by_phase")
     why = reasons((title.isNull(), "missing_title"), (F.col("unphased") > 0, "step_without_phase"), (F.col("bad_phase"), "phase_step_sequence_not_contiguous"), (F.col("low") > 0, "low_ocr_confidence_in_step"))
-    return out.select(*key, F.col("own.repair").alias("repair_number"), title.alias("title"), "n_steps", "n_phases", "step_numbers", "n_uncategorised", status.alias("sequence_status"), why.alias("review_reasons"))
+    return out.select(*REGION, "anchor", F.col("own.repair").alias("repair_number"), title.alias("title"), "n_steps", "n_phases", "step_numbers", "n_uncategorised", status.alias("sequence_status"), why.alias("review_reasons"))
+
+
+def procedures(lines: DataFrame) -> DataFrame:
+    """Segments with two steps and a phase at least: repair number, title, step numbers, verdict on the sequence by phase, and why a person has to
+    look. All of them are candidates."""
+    return procedures_of(pieces(lines))
 
 
 def numbered_lines(lines: DataFrame) -> DataFrame:
     """Lines of body regions that begin with a step number."""
-    body = lines.where(~F.col("region").isin(OUTSIDE)).withColumn("number", t.step_number(F.col("text"))).where("number IS NOT NULL")
-    return body.select(*REGION, "line_index", "number", t.step_body(F.col("text")).alias("body"))
+    body = lines.where(~F.col("region").isin(OUTSIDE)).withColumn("text", t.spaced(F.col("text")))
+    body = body.withColumn("number", t.step_number(F.col("text"), True)).where("number IS NOT NULL")
+    return body.select(*REGION, "line_index", "number", t.step_body(F.col("text"), True).alias("body"))
 
 
 def page_class(lines: DataFrame) -> DataFrame:
-    """The class of each page, by its procedures, a CONTENTS or INTRODUCTION line of its own, and its numbered lines."""
+    """The class of each page, by its procedures, a CONTENTS or INTRODUCTION line of its own, and its numbered lines. Segments and pages are
+    summed up in one go."""
     page = ["source", "page"]
-    body = ~F.col("region").isin(OUTSIDE)
-    sums = lines.groupBy(*page).agg(
-        F.count(F.lit(1)).alias("n_lines"), F.count(F.when(body & t.step_number(F.col("text")).isNotNull(), 1)).alias("n_numbered"),
-        F.bool_or(t.is_standalone(F.col("text"), "CONTENTS")).alias("contents"), F.bool_or(t.is_standalone(F.col("text"), "INTRODUCTION")).alias("introduction"),
+    alone = lambda x: F.bool_or(t.is_standalone(F.col("text"), x, True))
+    sums = anchored(lines, outside=True).groupBy(*REGION, "anchor").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count("number").alias("n_numbered"), F.count("phase_source").alias("n_phases"), alone("CONTENTS").alias("contents"), alone("INTRODUCTION").alias("introduction"),
+    )
+    found = F.col("anchor").isNotNull() & (F.col("n_numbered") >= LEAST_STEPS) & (F.col("n_phases") > 0)
+    out = sums.groupBy(*page).agg(
+        F.sum("n_lines").alias("n_lines"), F.sum("n_numbered").alias("n_numbered"), F.bool_or("contents").alias("contents"), F.bool_or("introduction").alias("introduction"),
+        F.count(F.when(found, 1)).alias("n_procedures"),
     )
-    found = procedures(lines).groupBy(*page).agg(F.count(F.lit(1)).alias("n_procedures"))
-    out = sums.join(found, page, "left").withColumn("n_procedures", F.coalesce("n_procedures", F.lit(0)))
     kind = (
         F.when(F.col("n_procedures") > 0, "repair_procedure_page")
         .when(F.col("contents") & (F.col("n_lines") >= CONTENTS_LINES), "contents_page_candidate")

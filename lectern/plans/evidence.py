@@ -166,7 +166,7 @@ def anchor_titles(spark: SparkSession, d: str) -> DataFrame:
 
 def _context(spark: SparkSession, d: str) -> DataFrame:
     """Chapters of 40 pages each over the manual's pages."""
-    pages = _lines(spark, d).select("source", "page").distinct()
+    pages = fx.source_pages(spark, d)
     return pages.withColumn("chapter_id", F.when(F.col("page") % 29 != 0, F.concat(F.lit("chapter-"), F.expr("page div 40"))))
 
 

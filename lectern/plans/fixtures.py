@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
+from ..sources.tables import dealt, table
 
 PAGE_WIDTH, PAGE_HEIGHT = 2480, 3508
 
@@ -44,30 +44,47 @@ def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of manual pages from orders and their parts: per order (of every fourth group without its number, so that fragments occur) a title,
-    a repair number, phase headings, numbered steps with a bullet and a continuation. Page = order key div 4, region by its parity."""
-    steps = numbered(spark, sf_dir).select("procedure", "phase", "number", "part").distinct()
-    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), F.col("p_name").alias("name"))
-    steps = steps.join(parts, "part", "left")
-    key = F.col("procedure")
-    rank = F.when(F.col("phase") == "remove", 1).when(F.col("phase") == "adjust", 2).otherwise(3)
-    first = steps.groupBy("procedure").agg(F.min("part").alias("part"), F.min("number").alias("least")).join(parts, "part", "left")
-    anchored = key % 8 != 3
-    head = first.where(anchored).select("procedure", F.lit(0).alias("o1"), F.lit(0).alias("o2"), F.lit(0).alias("o3"), F.lit(0).alias("o4"), F.upper(F.coalesce("name", F.lit("PART"))).alias("text"))
-    number = F.concat(F.lit("Service Repair No. "), key % 90 + 10, F.lit("."), key % 7, F.lit("."), key % 50)
-    anchor = first.where(anchored).select("procedure", F.lit(0).alias("o1"), F.lit(1).alias("o2"), F.lit(0).alias("o3"), F.lit(0).alias("o4"), number.alias("text"))
-    phases = steps.where(key % 16 != 11).select("procedure", rank.alias("o1"), F.lit(0).alias("o2"), F.lit(0).alias("o3"), F.lit(0).alias("o4"), F.concat(F.upper(F.substring("phase", 1, 1)), F.substring("phase", 2, 20), F.when(key % 3 == 0, ":").otherwise("")).alias("text")).distinct()
-    step = steps.select("procedure", rank.alias("o1"), F.col("number").alias("o2"), F.lit(0).alias("o3"), F.col("part").alias("o4"), F.concat(F.col("number"), F.lit(". "), F.coalesce("name", F.lit("part"))).alias("text"))
-    bullet = steps.where("part % 5 = 0").select("procedure", rank.alias("o1"), F.col("number").alias("o2"), F.lit(1).alias("o3"), F.col("part").alias("o4"), F.concat(F.lit("- item "), F.col("part")).alias("text"))
-    more = steps.where("part % 7 = 0").select("procedure", rank.alias("o1"), F.col("number").alias("o2"), F.lit(2).alias("o3"), F.col("part").alias("o4"), F.concat(F.lit("and then "), F.col("part")).alias("text"))
-    lines = head.unionByName(anchor).unionByName(phases).unionByName(step).unionByName(bullet).unionByName(more)
-    out = lines.select(F.lit("manual").alias("source"), F.expr("procedure div 4").alias("page"), F.when(key % 2 == 0, "left").otherwise("right").alias("region"), "procedure", "o1", "o2", "o3", "o4", "text")
+    a repair number, phase headings, numbered steps with a bullet and a continuation. Page = order key div 4, region by its parity.
+
+    Order lines are dealt to tasks by page once; whatever is made of pages, regions and segments after that needs no other exchange."""
     from pyspark.sql import Window as W
 
+    key = F.col("procedure")
+    rank = F.when(F.col("phase") == "remove", 1).when(F.col("phase") == "adjust", 2).otherwise(3)
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part"), F.col("p_name").alias("name"))
+    steps = numbered(spark, sf_dir).join(parts.hint("shuffle_hash"), "part", "left")
+    steps = steps.select(F.lit("manual").alias("source"), F.expr("procedure div 4").alias("page"), F.when(key % 2 == 0, "left").otherwise("right").alias("region"), "procedure", rank.alias("rank"), "number", "part", "name")
+    steps = dealt(steps, ["page"], table(spark, sf_dir, "lineitem"))
+    whole = W.partitionBy("source", "page", "region", "procedure")
+    own = ["rank", "number", "part", "name"]
+    order = whole.orderBy(*own)
+    steps = steps.withColumns({"opens": F.row_number().over(order) == 1} | {f"same_{x}": F.lag(x).over(order).eqNullSafe(F.col(x)) for x in own})
+    steps = steps.where(F.col("opens") | ~(F.col("same_rank") & F.col("same_number") & F.col("same_part") & F.col("same_name")))  # each once
+    steps = steps.withColumn("first", F.min(F.when(F.col("part").isNotNull(), F.struct("part", "name"))).over(whole))
+    line = lambda o1, o2, o3, o4, text: F.struct(o1.alias("o1"), o2.alias("o2"), o3.alias("o3"), o4.alias("o4"), text.alias("text"))
+    zero, k, number, part = F.lit(0), F.col("rank"), F.col("number"), F.col("part")
+    anchored = F.col("opens") & (key % 8 != 3)
+    repair = F.concat(F.lit("Service Repair No. "), key % 90 + 10, F.lit("."), key % 7, F.lit("."), key % 50)
+    phase = F.concat(F.element_at(F.array(*map(F.lit, ["Remove", "Adjust", "Refit"])), k), F.when(key % 3 == 0, ":").otherwise(""))
+    made = F.array(
+        F.when(anchored, line(zero, zero, zero, F.lit(0).cast("bigint"), F.upper(F.coalesce("first.name", F.lit("PART"))))),
+        F.when(anchored, line(zero, F.lit(1), zero, F.lit(0).cast("bigint"), repair)),
+        F.when((F.col("opens") | ~F.col("same_rank")) & (key % 16 != 11), line(k, zero, zero, F.lit(0).cast("bigint"), phase)),
+        line(k, number, zero, part, F.concat(number, F.lit(". "), F.coalesce("name", F.lit("part")))),
+        F.when(part % 5 == 0, line(k, number, F.lit(1), part, F.concat(F.lit("- item "), part))),
+        F.when(part % 7 == 0, line(k, number, F.lit(2), part, F.concat(F.lit("and then "), part))),
+    )
+    out = steps.select("source", "page", "region", "procedure", F.explode(made).alias("l")).where("l IS NOT NULL").select("source", "page", "region", "procedure", "l.*")
     order = W.partitionBy("source", "page", "region").orderBy("procedure", "o1", "o2", "o4", "o3", "text")
     confidence = (F.col("procedure") * 13 + F.col("o2") * 7 + F.col("o1")) % 45 + 56
     return out.select("source", "page", "region", (F.row_number().over(order) - 1).alias("line_index"), "text", confidence.cast("double").alias("mean_confidence"))
 
 
+def source_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of source_lines, which has a line at least for every order line."""
+    return table(spark, sf_dir, "lineitem").select(F.lit("manual").alias("source"), F.expr("l_orderkey div 4").alias("page")).distinct()
+
+
 SOURCE_LINES_SQL = """
 steps0 AS (SELECT DISTINCT l_orderkey AS procedure, CASE l_returnflag WHEN 'R' THEN 'remove' WHEN 'A' THEN 'adjust' ELSE 'refit' END AS phase,
   CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 2 ELSE 3 END AS rank, l_linenumber AS number, l_partkey AS part, p_name AS name FROM lineitem LEFT JOIN part ON p_partkey = l_partkey),

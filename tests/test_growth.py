@@ -1,5 +1,12 @@
 """What keeps queries from growing faster than their tables: plans, and results where the plan is another one."""
 
+import random
+
+import pytest
+
+from lectern.operators import structure
+from lectern.plans.catalogue import QUERIES
+
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -14,3 +21,48 @@ def test_digests_are_not_broadcast_by_an_estimate(spark):
     out = audit.ocr_evidence(expected, evidence, payloads)
     assert "Broadcast" not in plan(out)
     assert {(r.page, r.status) for r in out.collect()} == {(1, "OK"), (2, "OCR_PROVENANCE_MISMATCH"), (3, "MISSING_OCR_PAGE")}
+
+
+STRUCTURE = {"procedures": 3, "procedure_steps": 3, "procedure_phases": 3, "sequence_issues": 3, "repair_numbers": 5, "page_class": 3, "page_class_histogram": 4}
+
+
+@pytest.mark.parametrize("name", STRUCTURE)
+def test_lines_are_dealt_once(spark, sf_dir, name):
+    """Order lines and parts by part, then by page; distinct, sorted and summed-up rows of their own beyond that."""
+    assert plan(QUERIES[name](spark, sf_dir)).count("Exchange ") <= STRUCTURE[name]
+
+
+def test_segments_against_a_plain_reading(spark):
+    """Random lines of titles, anchors, phases, steps and others, in body regions and others, against loops over each region."""
+    rng = random.Random(5)
+    said = ["COOLING FAN", "Service Repair No. 12.25.01", "Remove", "Refit:", "1. do", "2. do", "3. do", "- item", "and then", "", "  ", "4. Service repair no 1.2", "TOP  GEAR"]
+    rows = [("s", p, region, k, rng.choice(said), float(rng.randint(50, 99))) for p in range(40) for region in ("left", "header", "body") for k in range(rng.randint(1, 30))]
+    want, classes = [], {}
+    for p in range(40):
+        n = 0
+        for region in ("left", "body"):
+            own = [" ".join(r[4].split()) for r in rows if r[1:3] == (p, region)]
+            anchors = [k for k, x in enumerate(own) if "epair" in x]
+            title = {a: max([k for k in range(max(0, a - 4), a) if own[k].isupper()], default=None) for a in anchors}
+            for i, a in enumerate(anchors):
+                stop = len(own) if i + 1 == len(anchors) else anchors[i + 1]
+                if i + 1 < len(anchors) and title[stop] is not None and title[stop] > a:
+                    stop = title[stop]
+                numbers, phase, last, bad, unphased = [], 0, None, False, 0
+                for x in own[a + 1 : stop]:
+                    if x in ("Remove", "Refit:"):
+                        phase, last = phase + 1, None
+                    elif x[:1].isdigit():
+                        number = int(x[0])
+                        bad |= phase > 0 and last is not None and number != last + 1
+                        unphased += phase == 0
+                        last = number
+                        numbers.append(number)
+                if len(numbers) >= 2 and phase:
+                    want.append((p, region, a, None if title[a] is None else own[title[a]], numbers, phase, "phase_sequence_issue" if bad else "unphased_steps_present" if unphased else "contiguous_by_phase"))
+                    n += 1
+        classes[p] = n
+    lines = spark.createDataFrame(rows, "source string, page long, region string, line_index int, text string, mean_confidence double")
+    got = [(r.page, r.region, r.anchor, r.title, r.step_numbers, r.n_phases, r.sequence_status) for r in structure.procedures(lines).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(want) > 20
+    assert {r.page: r.n_procedures for r in structure.page_class(lines).collect()} == classes
