@@ -3,9 +3,12 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from lectern.functions import text as t
 from lectern.operators import structure
 from lectern.plans.catalogue import QUERIES
+from lectern.sources import tsv
 
 
 def plan(df):
@@ -66,3 +69,33 @@ def test_segments_against_a_plain_reading(spark):
     got = [(r.page, r.region, r.anchor, r.title, r.step_numbers, r.n_phases, r.sequence_status) for r in structure.procedures(lines).collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, want)) and len(want) > 20
     assert {r.page: r.n_procedures for r in structure.page_class(lines).collect()} == classes
+
+
+def test_long_runs_of_marks_are_searched_once(spark):
+    """Lines of 300,000 marks that no heading ends with; before, a search from each of them to the end of the run."""
+    import time
+
+    lines = spark.createDataFrame([(k, "Fan " + "§" * 300_000 + "x") for k in range(4)] + [(9, "** FAN ~~ (2) ~§~")], "k int, line string")
+    began = time.time()
+    got = {r.k: r.h for r in lines.select("k", t.clean_heading(F.col("line")).alias("h")).collect()}
+    assert got[9] == "FAN ~~ (2)" and len(got[0]) == 300_005 and time.time() - began < 20
+
+
+def test_word_tables_are_read_once(spark, sf_dir):
+    """Files of all kinds of lines and terminators, against a plain reading; and each query scans its files once."""
+    head = "\t".join(tsv.HEADER)
+    word = lambda conf="90", text="gear", left="10": f"5\t1\t2\t\t3\t4\t{left}\t20\t30\t40\t{conf}\t{text}"
+    files = [
+        ("", []), (None, []), (head, []), (head + "\n", []), ("a\tb\r\n" + word(), []), ("\n" + word(), []), (head + "\r" + word() + "\x85" + word("-1", "a\tb") + "\r\n", []),
+        (head + "\n" + "\n".join([word(""), word("bad"), word("9e1", " x "), word(left="1x"), word(text="  "), "5\t1", word().replace("5", "4", 1), word(text='"q')]) + "\n\n", []), ("\n", []), (head + "x\n" + word(left=" 7 "), []),
+    ]
+    frame = spark.createDataFrame([("s", k, x) for k, (x, _) in enumerate(files)], "source string, page int, tsv string")
+    got = {(r.page, r.code, r.line_number) for r in tsv.warnings(frame).collect()}
+    assert got == {
+        (0, "EMPTY_TSV", 0), (1, "EMPTY_TSV", 0), (4, "UNEXPECTED_TSV_HEADER", 1), (5, "UNEXPECTED_TSV_HEADER", 1), (8, "UNEXPECTED_TSV_HEADER", 1), (9, "UNEXPECTED_TSV_HEADER", 1),
+        (7, "INVALID_TSV_WORD_ROW", 3), (7, "INVALID_TSV_WORD_ROW", 5), (7, "MALFORMED_TSV_ROW", 7),
+    }
+    said = sorted((r.page, r.par_num, r.left, r.confidence, r.text) for r in tsv.words(frame).select("page", "par_num", "left", F.coalesce("confidence", F.lit(-1.0)).alias("confidence"), "text").collect())
+    assert said == sorted([(4, 0, 10, 90.0, "gear"), (5, 0, 10, 90.0, "gear"), (6, 0, 10, 90.0, "gear"), (6, 0, 10, -1.0, "a\tb"), (7, 0, 10, -1.0, "gear"), (7, 0, 10, 90.0, "x"), (7, 0, 10, 90.0, '"q'), (9, 0, 7, 90.0, "gear")])
+    assert plan(QUERIES["tsv_warnings"](spark, sf_dir)).count("FileScan") == 1
+    assert plan(QUERIES["tsv_words"](spark, sf_dir)).count("split(line") == 1
