@@ -60,7 +60,7 @@ def _capital(text: Column, least: float) -> Column:
 
 def clean_heading(text: Column, even: bool = False) -> Column:
     s = F.regexp_replace(_even(text, even), r"^[^A-Za-z0-9]+", "")
-    s = F.regexp_replace(s, r"[^A-Za-z0-9)./&+-]+$", "")
+    s = F.reverse(F.regexp_replace(F.reverse(s), r"^[^A-Za-z0-9)./&+-]+", ""))  # a search for the end of the text would begin at each character
     return stripped(s, CLEAN_EDGES)
 
 

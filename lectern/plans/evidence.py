@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..operators import fragments, hierarchy, layout, ocr, structure
-from ..sources.tables import table
+from ..sources.tables import once, table
 from . import fixtures as fx
 
 _joined = lambda c: F.array_join(F.col(c), ",").alias(c)
@@ -119,7 +119,10 @@ def title_candidates(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_num", "line"))
     upper = lines.select("doc_id", "line_num", F.when((F.col("doc_id") + F.col("line_num")) % 3 == 0, F.translate("line", "abcdefghijklmnopqrstuvwxyzäöüéèñ", "ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÉÈÑ")).otherwise(F.col("line")).alias("line"))
-    return upper.where(t.is_title(F.col("line")) | t.is_heading(F.col("line"))).select("doc_id", "line_num", t.spaced(F.col("line")).alias("title"), t.clean_heading(F.col("line")).alias("heading"), t.is_title(F.col("line")).alias("is_title"), t.is_heading(F.col("line")).alias("is_heading"))
+    title, heading = F.col("title"), F.col("heading")
+    upper = once(once(upper, title=t.spaced(F.col("line"))), heading=t.clean_heading(title, True))
+    upper = once(upper, is_title=t.is_title(title, True), is_heading=t.is_heading(heading, True))
+    return upper.where("is_title OR is_heading").select("doc_id", "line_num", "title", "heading", "is_title", "is_heading")
 
 
 def heading_ratio(spark: SparkSession, d: str) -> DataFrame:
