@@ -45,35 +45,35 @@ def lexicon_spelling_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ocr_lines(spark: SparkSession, d: str) -> DataFrame:
-    words = layout.regions(fx.words(spark, d))
+    words = layout.regions(fx.words(spark, d, dealt_by_page=True))
     return layout.lines(words).select("source", "page", "region", "line_num", "line_index", "text", "x0", "y0", "x1", "y1", "word_count", "mean_confidence")
 
 
 def page_text(spark: SparkSession, d: str) -> DataFrame:
-    return ocr.page_text(fx.words(spark, d))
+    return ocr.page_text(fx.words(spark, d, dealt_by_page=True))
 
 
 def region_word_counts(spark: SparkSession, d: str) -> DataFrame:
-    words = layout.regions(fx.words(spark, d))
+    words = layout.regions(fx.words(spark, d, dealt_by_page=True))
     placed = layout.column_regions(words, layout.best_gutter(layout.gutter_candidates(words)))
     return placed.groupBy("source", "page", "region").agg(F.count(F.lit(1)).alias("n_words"))
 
 
 def gutter_candidates(spark: SparkSession, d: str) -> DataFrame:
-    return layout.gutter_candidates(layout.regions(fx.words(spark, d)))
+    return layout.gutter_candidates(layout.regions(fx.words(spark, d, dealt_by_page=True)))
 
 
 def best_gutters(spark: SparkSession, d: str) -> DataFrame:
-    return layout.best_gutter(layout.gutter_candidates(layout.regions(fx.words(spark, d))))
+    return layout.best_gutter(layout.gutter_candidates(layout.regions(fx.words(spark, d, dealt_by_page=True))))
 
 
 def page_layout(spark: SparkSession, d: str) -> DataFrame:
-    words = layout.regions(fx.words(spark, d))
+    words = layout.regions(fx.words(spark, d, dealt_by_page=True))
     return layout.page_layout(words, layout.best_gutter(layout.gutter_candidates(words)))
 
 
 def native_column_signal(spark: SparkSession, d: str) -> DataFrame:
-    lines = layout.lines(layout.regions(fx.words(spark, d))).withColumn("page_width", F.lit(fx.PAGE_WIDTH))
+    lines = layout.lines(layout.regions(fx.words(spark, d, dealt_by_page=True))).withColumn("page_width", F.lit(fx.PAGE_WIDTH))
     return layout.native_column_signal(lines)
 
 

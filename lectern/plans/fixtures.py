@@ -8,11 +8,18 @@ from pyspark.sql import functions as F
 from ..sources.tables import dealt, table
 
 PAGE_WIDTH, PAGE_HEIGHT = 2480, 3508
+#: Bytes of documents' files whose words a task gets: about a thousand texts.
+PAGES_BYTES = 2 << 20
 
 
-def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every space-separated word of every line of documents, with a confidence from 40 to 100 and a box on a page; even pages have two columns."""
+def words(spark: SparkSession, sf_dir: str, dealt_by_page: bool = False) -> DataFrame:
+    """Every space-separated word of every line of documents, with a confidence from 40 to 100 and a box on a page; even pages have two columns.
+
+    dealt_by_page: documents are dealt to tasks by page before they become words, so that lines, regions and pages are put together where their
+    words are: a document is a fraction of its words' rows."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    if dealt_by_page:
+        docs = dealt(docs, ["lang", "doc_id"], table(spark, sf_dir, "documents"), PAGES_BYTES)
     lines = docs.select("doc_id", "lang", F.posexplode(F.split("text", "\n")).alias("line_num", "line"))
     out = lines.select("doc_id", "lang", "line_num", F.posexplode(F.split("line", " ")).alias("word_num", "text")).where("text <> ''")
     row, col = F.expr("word_num div 16"), F.col("word_num") % 16

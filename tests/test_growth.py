@@ -99,3 +99,10 @@ def test_word_tables_are_read_once(spark, sf_dir):
     assert said == sorted([(4, 0, 10, 90.0, "gear"), (5, 0, 10, 90.0, "gear"), (6, 0, 10, 90.0, "gear"), (6, 0, 10, -1.0, "a\tb"), (7, 0, 10, -1.0, "gear"), (7, 0, 10, 90.0, "x"), (7, 0, 10, 90.0, '"q'), (9, 0, 7, 90.0, "gear")])
     assert plan(QUERIES["tsv_warnings"](spark, sf_dir)).count("FileScan") == 1
     assert plan(QUERIES["tsv_words"](spark, sf_dir)).count("split(line") == 1
+
+
+@pytest.mark.parametrize("name", ["ocr_lines", "page_text", "region_word_counts", "gutter_candidates", "best_gutters", "page_layout", "native_column_signal"])
+def test_words_are_not_shuffled(spark, sf_dir, name):
+    """Documents are dealt by page before they become words: every exchange is of documents."""
+    dealt = [x for x in plan(QUERIES[name](spark, sf_dir)).splitlines() if " Exchange " in x]
+    assert dealt and all("REPARTITION_BY_NUM" in x for x in dealt)
