@@ -106,3 +106,11 @@ def test_words_are_not_shuffled(spark, sf_dir, name):
     """Documents are dealt by page before they become words: every exchange is of documents."""
     dealt = [x for x in plan(QUERIES[name](spark, sf_dir)).splitlines() if " Exchange " in x]
     assert dealt and all("REPARTITION_BY_NUM" in x for x in dealt)
+
+
+def test_context_reads_keys_only(spark, sf_dir):
+    """Chapters of pages need no lines: one scan, no window, no join."""
+    from lectern.plans import evidence
+
+    said = plan(evidence._context(spark, sf_dir))
+    assert said.count("FileScan") == 1 and "Window" not in said and "Join" not in said
